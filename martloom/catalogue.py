@@ -553,39 +553,26 @@ def document_warehouse(spark: SparkSession, sf_dir: str) -> documents.DocumentWa
     )
 
 
-def named_orders(dw: documents.DocumentWarehouse) -> DataFrame:
-    orders = joins.lookup(
-        dw.dm_orders.withColumnsRenamed({"id": "order_id"}),
-        dw.dm_restaurants.withColumnsRenamed({"id": "restaurant_id", "restaurant_id": "restaurant_key"}),
-        ["restaurant_id"], {"restaurant_name": "restaurant_name"},
-    )
-    orders = joins.lookup(
-        orders, dw.dm_users.withColumnsRenamed({"id": "user_id", "user_id": "user_key"}),
-        ["user_id"], {"user_name": "user_name"},
-    )
-    return joins.lookup(
-        orders, dw.dm_timestamps.withColumnsRenamed({"id": "timestamp_id"}), ["timestamp_id"], {"ts": "ts"}
-    )
-
-
 @query
 def dm_orders(spark, sf_dir):
-    orders = named_orders(document_warehouse(spark, sf_dir))
-    return orders.select("order_key", "order_status", "restaurant_name", "user_name", "ts")
+    dw = document_warehouse(spark, sf_dir)
+    restaurants = dw.dm_restaurants.select(F.col("id").alias("restaurant_id"), "restaurant_name")
+    users = dw.dm_users.select(F.col("id").alias("user_id"), "user_name")
+    times = dw.dm_timestamps.select(F.col("id").alias("timestamp_id"), "ts")
+    named = joins.lookup(dw.dm_orders, restaurants, ["restaurant_id"], {"restaurant_name": "restaurant_name"})
+    named = joins.lookup(named, users, ["user_id"], {"user_name": "user_name"})
+    named = joins.lookup(named, times, ["timestamp_id"], {"ts": "ts"})
+    return named.select("order_key", "order_status", "restaurant_name", "user_name", "ts")
 
 
 @query
 def fct_product_sales(spark, sf_dir):
     dw = document_warehouse(spark, sf_dir)
-    facts = joins.lookup(
-        dw.fct_product_sales,
-        dw.dm_products.withColumnsRenamed({"id": "product_id", "product_id": "product_key"}),
-        ["product_id"], {"product_key": "product_key"},
-    )
-    facts = joins.lookup(
-        facts, dw.dm_orders.withColumnsRenamed({"id": "order_id"}), ["order_id"], {"order_key": "order_key"}
-    )
-    return facts.drop("id", "product_id", "order_id")
+    products = dw.dm_products.select(F.col("id").alias("product_id"), F.col("product_id").alias("product_key"))
+    orders = dw.dm_orders.select(F.col("id").alias("order_id"), "order_key")
+    named = joins.lookup(dw.fct_product_sales, products, ["product_id"], {"product_key": "product_key"})
+    named = joins.lookup(named, orders, ["order_id"], {"order_key": "order_key"})
+    return named.drop("id", "product_id", "order_id")
 
 
 @query
@@ -682,10 +669,7 @@ def stream_upsert(spark, sf_dir):
 # --- sources and sinks ---
 
 
-PART_COLUMNS = {
-    "p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int",
-    "p_retailprice": "double",
-}
+PART_COLUMNS = b.TABLES["part"]
 
 
 @query

@@ -12,7 +12,8 @@ def as_day(ts) -> Column:
 
 def day_from_key(date_id) -> Column:
     """Day named by an integer such as 20210131."""
-    return F.to_date(_col(date_id).cast("string"), "yyyyMMdd")
+    key = _col(date_id)
+    return F.make_date(F.floor(key / 10000), F.pmod(F.floor(key / 100), F.lit(100)), F.pmod(key, F.lit(100)))
 
 
 def date_key(day) -> Column:
@@ -54,8 +55,11 @@ def truncate_to_second(ts) -> Column:
 
 
 def clock_time(ts) -> Column:
-    """Time of day as HH:mm:ss text (Spark has no stored TIME type by default)."""
-    return F.date_format(ts, "HH:mm:ss")
+    """Time of day as HH:mm:ss text (Spark has no stored TIME type by default).
+
+    Cut from the text form, because ``date_format`` would go through the session time zone.
+    """
+    return F.substring(_col(ts).cast("string"), 12, 8)
 
 
 def days_between(start, end) -> Column:
@@ -65,7 +69,7 @@ def days_between(start, end) -> Column:
 
 def iso_text(ts) -> Column:
     """Timestamp as ISO text, as load states keep it."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.translate(_col(ts).cast("string"), " ", "T")
 
 
 def from_iso_text(text) -> Column:

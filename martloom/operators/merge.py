@@ -88,7 +88,8 @@ def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataF
 
 def split_batch(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The batch as (rows whose key is new, rows whose key the target has)."""
-    return new_rows(source, target, keys), source.join(target.select(*keys), list(keys), "left_semi")
+    known = source.join(target.select(*keys), list(keys), "left_semi").select(*source.columns)
+    return new_rows(source, target, keys), known
 
 
 def merge_upsert(
@@ -168,7 +169,7 @@ def upsert_partitions(
     The writer also takes the touched list, so that a partition whose rows all moved is emptied.
     """
     touched = touched_partitions(target, source, keys, partition_col)
-    affected = target.join(touched, [partition_col], "left_semi")
+    affected = target.join(touched, [partition_col], "left_semi").select(*target.columns)
     return upsert_on_key(affected, source, keys, keep, **options)
 
 
