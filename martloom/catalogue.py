@@ -27,6 +27,7 @@ from martloom.schemas import (
     LOAD_LOG,
     SALES_DIMENSIONS,
     ddl,
+    empty_table,
 )
 from martloom.session import materialize, scratch_path
 from martloom.sources import files, tables
@@ -119,7 +120,7 @@ def stage_orders_default_status(spark, sf_dir):
 
 
 def empty_dimension(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], ddl(SALES_DIMENSIONS[name]))
+    return empty_table(spark, SALES_DIMENSIONS[name])
 
 
 @query
@@ -197,7 +198,7 @@ def two_loads_of_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 @query
 def f_sales_upsert_two_loads(spark, sf_dir):
     first, second = two_loads_of_sales(spark, sf_dir)
-    loaded = sales.load_f_sales(spark.createDataFrame([], ddl(F_SALES)), first, RUN_1)
+    loaded = sales.load_f_sales(empty_table(spark, F_SALES), first, RUN_1)
     return sales.load_f_sales(materialize(loaded, "f_sales"), second, RUN_2)
 
 
@@ -284,10 +285,6 @@ def loads(spark: SparkSession, sf_dir: str, cut: date) -> tuple[DataFrame, DataF
     return first, rows.filter(F.col("order_created_date") >= F.lit(cut))
 
 
-def empty(spark: SparkSession, columns: dict[str, str]) -> DataFrame:
-    return spark.createDataFrame([], ddl(columns))
-
-
 def one_type() -> dict:
     """Parts can share name, brand and price and differ in type; the load keeps the last type."""
     return {"on_duplicate": "latest", "prefer": [F.desc("product_type")]}
@@ -295,7 +292,7 @@ def one_type() -> dict:
 
 def load_twice(spark, sf_dir, merge_load, columns, cut=CUT, **options) -> DataFrame:
     first, second = loads(spark, sf_dir, cut)
-    dim = materialize(merge_load(empty(spark, columns), first, RUN_1, **options), "dim")
+    dim = materialize(merge_load(empty_table(spark, columns), first, RUN_1, **options), "dim")
     return merge_load(dim, second, RUN_2, **options)
 
 
@@ -319,7 +316,7 @@ def surrogate_keys(spark, sf_dir):
     """Ids after two loads: all distinct, and those of the first load unchanged."""
     first, second = loads(spark, sf_dir, CUT)
     before = materialize(
-        warehouse.merge_products(empty(spark, D_PRODUCT), first, RUN_1, **one_type()), "dim"
+        warehouse.merge_products(empty_table(spark, D_PRODUCT), first, RUN_1, **one_type()), "dim"
     )
     after = warehouse.merge_products(before, second, RUN_2, **one_type())
     known = before.select(*warehouse.PRODUCT_KEY, F.col("product_id").alias("first_id"))
@@ -332,9 +329,9 @@ def surrogate_keys(spark, sf_dir):
 
 
 def dimensions(spark: SparkSession, rows: DataFrame, run_ts: datetime) -> tuple[DataFrame, ...]:
-    craftsmen = warehouse.merge_craftsmen(empty(spark, D_CRAFTSMAN), rows, run_ts)
-    customers = warehouse.merge_customers(empty(spark, D_CUSTOMER), rows, run_ts)
-    products = warehouse.merge_products(empty(spark, D_PRODUCT), rows, run_ts, **one_type())
+    craftsmen = warehouse.merge_craftsmen(empty_table(spark, D_CRAFTSMAN), rows, run_ts)
+    customers = warehouse.merge_customers(empty_table(spark, D_CUSTOMER), rows, run_ts)
+    products = warehouse.merge_products(empty_table(spark, D_PRODUCT), rows, run_ts, **one_type())
     return tuple(materialize(d, "dim") for d in (craftsmen, customers, products))
 
 
@@ -371,7 +368,7 @@ def loaded_orders(spark: SparkSession, sf_dir: str, cut: date):
         warehouse.resolve_order_keys(rows, craftsmen, customers, products), "resolved"
     )
     first = warehouse.merge_orders(
-        empty(spark, F_ORDER), resolved.filter(day < F.lit(cut)), RUN_1, **options
+        empty_table(spark, F_ORDER), resolved.filter(day < F.lit(cut)), RUN_1, **options
     )
     orders = warehouse.merge_orders(
         materialize(first, "f_order"), resolved.filter(day >= F.lit(cut)), RUN_2, **options
@@ -391,7 +388,7 @@ def merge_f_order(spark, sf_dir):
     opened = resolved.filter(F.col("order_created_date") < F.lit(CUT)).withColumn(
         "order_status", F.lit("created")
     )
-    first = warehouse.merge_orders(empty(spark, F_ORDER), opened, RUN_1, **options)
+    first = warehouse.merge_orders(empty_table(spark, F_ORDER), opened, RUN_1, **options)
     orders = warehouse.merge_orders(materialize(first, "f_order"), resolved, RUN_2, **options)
     return by_natural_key(orders, craftsmen, customers, products)
 

@@ -6,10 +6,10 @@ import json
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
 
 from martloom.functions.documents import settings_map
 from martloom.operators.merge import upsert_on_key
+from martloom.schemas import ddl, empty_table
 
 # Where a load starts when no state is stored, and how much a document load takes.
 FIRST_ID = -1
@@ -17,12 +17,7 @@ FIRST_TS = datetime(2022, 1, 1)
 DOCUMENT_LIMIT = 10000
 EPOCH = datetime(1900, 1, 1)
 
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("workflow_key", T.StringType(), False),
-        T.StructField("workflow_settings", T.StringType(), False),
-    ]
-)
+STATE_COLUMNS = {"workflow_key": "string", "workflow_settings": "string"}
 
 
 def incremental_extract(
@@ -69,7 +64,7 @@ def changed_since(columns: list[str], moment: Column) -> Column:
 
 
 def empty_state(spark) -> DataFrame:
-    return spark.createDataFrame([], STATE_SCHEMA)
+    return empty_table(spark, STATE_COLUMNS)
 
 
 def get_setting(state: DataFrame, workflow_key: str) -> dict[str, str] | None:
@@ -85,5 +80,5 @@ def get_setting(state: DataFrame, workflow_key: str) -> dict[str, str] | None:
 def save_setting(state: DataFrame, workflow_key: str, settings: dict) -> DataFrame:
     """State table with the settings of one workflow replaced."""
     text = json.dumps({k: v.isoformat() if isinstance(v, datetime) else v for k, v in settings.items()})
-    row = state.sparkSession.createDataFrame([(workflow_key, text)], STATE_SCHEMA)
+    row = state.sparkSession.createDataFrame([(workflow_key, text)], ddl(STATE_COLUMNS))
     return upsert_on_key(state, row, ["workflow_key"])

@@ -7,19 +7,9 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
 
 PASSED, FAILED = 0, 1
 
-RESULT_SCHEMA = T.StructType(
-    [
-        T.StructField("table_name", T.StringType(), False),
-        T.StructField("check_name", T.StringType(), False),
-        T.StructField("check_date", T.DateType(), False),
-        T.StructField("result", T.IntegerType(), False),
-    ]
-)
-
 
 @dataclass(frozen=True)
 class Check:

@@ -22,6 +22,7 @@ from martloom.schemas import (
     SHIPPED,
     USER_ORDER_INCREMENT,
     ddl,
+    empty_table,
 )
 from martloom.session import materialize
 from martloom.sources import tables
@@ -176,7 +177,7 @@ def run_sales_day(
     orders = staged.filter(F.col("business_date") == F.lit(business_date))
 
     dims = Releases(spark, f"{root}/dimensions")
-    empty = {name: spark.createDataFrame([], ddl(columns)) for name, columns in SALES_DIMENSIONS.items()}
+    empty = {name: empty_table(spark, columns) for name, columns in SALES_DIMENSIONS.items()}
     d_city, d_item, d_customer = (dims.read(name, empty[name]) for name in SALES_DIMENSIONS)
     dims.publish(
         {
@@ -188,7 +189,7 @@ def run_sales_day(
 
     sales = signed_sales(orders, calendar, business_date).withColumn("created_at", F.lit(run_ts))
     batch = materialize(conform(sales, F_SALES), "f_sales_batch")
-    spark.createDataFrame([], ddl(F_SALES)).write.mode("ignore").partitionBy("date_id").parquet(facts)
+    empty_table(spark, F_SALES).write.mode("ignore").partitionBy("date_id").parquet(facts)
     current = spark.read.schema(ddl(F_SALES)).parquet(facts)
     touched = touched_partitions(current, batch, ["uniq_id"], "date_id")
     changed = upsert_partitions(current, batch, ["uniq_id"], "date_id", keep=["created_at"])

@@ -23,7 +23,7 @@ from martloom.operators.incremental import (
     save_setting,
 )
 from martloom.operators.merge import upsert_on_key
-from martloom.schemas import RANKS, STAGED_DOCUMENT, ddl
+from martloom.schemas import RANKS, STAGED_DOCUMENT, empty_table
 from martloom.session import materialize
 from martloom.sources.releases import Releases
 
@@ -57,7 +57,7 @@ def stage_documents(
         document_text("*").alias("object_value"),
         F.col(cursor).alias("update_ts"),
     )
-    staged = store.read(table, store.spark.createDataFrame([], ddl(STAGED_DOCUMENT)))
+    staged = store.read(table, empty_table(store.spark, STAGED_DOCUMENT))
     merged = upsert_on_key(
         staged, documents, ["object_id"], on_duplicate="latest", prefer=[F.desc("update_ts")]
     )
@@ -73,7 +73,7 @@ def stage_ranks(ranks: DataFrame, store: Releases, table: str = "bonussystem_ran
     last = batch_cursor(batch, "id")
     if last is None:
         return 0
-    staged = store.read(table, store.spark.createDataFrame([], ddl(RANKS)))
+    staged = store.read(table, empty_table(store.spark, RANKS))
     merged = upsert_on_key(staged, conform(batch, RANKS), ["id"])
     store.publish({table: merged, STATE: save_setting(state, table, {LAST_ID: last})})
     return batch.count()

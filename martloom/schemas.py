@@ -6,6 +6,8 @@ text that Spark readers and ``from_json`` take.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
 from martloom.operators.quality import Constraints
 
 
@@ -13,6 +15,12 @@ def ddl(columns: dict[str, str]) -> str:
     return ", ".join(f"`{name}` {type_}" for name, type_ in columns.items())
 
 
+def empty_table(spark: SparkSession, columns: dict[str, str]) -> DataFrame:
+    """Table without rows. The optimizer knows it is empty and removes joins with it, so a first
+    load costs no more than its inserts."""
+    return spark.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in columns.items()]).filter(F.lit(False))
+
+
 # Accepted sales states, finished order states, open end of a validity period.
 SHIPPED, REFUNDED = "shipped", "refunded"
 FINISHED_STATES = ("CLOSED", "CANCELLED")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.operators.merge import upsert_partitions
-from martloom.schemas import ddl
+from martloom.schemas import ddl, empty_table
 from martloom.session import materialize
 from martloom.sources.tables import write_partitions
 
@@ -39,7 +39,7 @@ def upsert_stream(
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
     spark = source.sparkSession
-    spark.createDataFrame([], ddl(columns)).write.mode("ignore").partitionBy(partition_col).parquet(table_path)
+    empty_table(spark, columns).write.mode("ignore").partitionBy(partition_col).parquet(table_path)
 
     def merge_batch(batch: DataFrame, _: int) -> None:
         table = batch.sparkSession.read.schema(ddl(columns)).parquet(table_path)
