@@ -6,6 +6,7 @@ doubles, so that any client compares them alike. The library itself returns date
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +16,7 @@ from martloom.functions import dates, documents as docs, numbers
 from martloom.operators import incremental, joins, keys, merge, quality, ranking
 from martloom.operators.clean import conform, drop_present, keep_first, nan_to_null
 from martloom.plans import checks, customer_report as report, daily, documents, sales, staging, warehouse
+from martloom.plans.market_load import MarketWarehouse
 from martloom.schemas import (
     CUSTOMER_RESEARCH,
     DM_USERS,
@@ -400,11 +402,6 @@ def log_of(spark: SparkSession, moment: datetime) -> DataFrame:
     return spark.createDataFrame([(moment,)], ddl(LOAD_LOG))
 
 
-def details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
-    return report.order_details(orders, craftsmen, customers, products)
-
-
 def first_state(orders, craftsmen, customers, products):
     """Warehouse as it was after the first load."""
     old = F.regexp_replace("customer_address", "^new ", "")
@@ -416,7 +413,8 @@ def first_state(orders, craftsmen, customers, products):
 @query
 def report_delta(spark, sf_dir):
     state = loaded_orders(spark, sf_dir, REPORT_CUT)
-    mart = report.customer_aggregates(report.order_details(*first_state(*state)))
+    orders, craftsmen, customers, products = first_state(*state)
+    mart = report.customer_aggregates(report.report_lines(orders, craftsmen, products), customers)
     delta = report.report_delta(report.order_details(*state), log_of(spark, RUN_1), mart)
     return delta.select(
         "customer_name", "customer_address", "product_price", "product_type", "order_status",
@@ -434,13 +432,16 @@ def report_changed_customers(spark, sf_dir):
 
 @query
 def report_aggregates(spark, sf_dir):
-    return report.customer_aggregates(details(spark, sf_dir)).drop("customer_id")
+    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
+    lines = report.report_lines(orders, craftsmen, products)
+    return report.customer_aggregates(lines, customers).drop("customer_id")
 
 
 @query
 def top_category_ties_all(spark, sf_dir):
-    rows = details(spark, sf_dir).select("customer_id", "customer_name", "product_type")
-    return ranking.most_frequent(rows, ["customer_name"], "product_type", "all")
+    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
+    top = report.top_categories(report.report_lines(orders, craftsmen, products), "all")
+    return joins.lookup(top, customers, ["customer_id"], {"customer_name": "customer_name"}).drop("customer_id")
 
 
 @query
@@ -481,15 +482,51 @@ def customer_report_increment(spark, sf_dir):
     return reported(after, state[0])
 
 
+@query
+def market_load_two_runs(spark, sf_dir):
+    """Report stored by two runs of the whole load: orders before 1999, then all of them from
+    customers who have moved since."""
+    sources = b.market_sources(spark, sf_dir)
+    stored = MarketWarehouse(spark, scratch_path(spark, "market-warehouse"))
+
+    def early(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("order_created_date") < F.lit(CUT))
+
+    def moved(df: DataFrame) -> DataFrame:
+        return df.withColumn("customer_address", F.concat(F.lit("new "), "customer_address"))
+
+    stored.load(
+        replace(
+            sources,
+            wide=early(sources.wide),
+            orders_customers=early(sources.orders_customers),
+            orders_products=early(sources.orders_products),
+            craft_products_orders=early(sources.craft_products_orders),
+        ),
+        RUN_1,
+    )
+    stored.load(
+        replace(
+            sources,
+            wide=moved(sources.wide),
+            orders_customers=moved(sources.orders_customers),
+            customers=moved(sources.customers),
+            external_customers=moved(sources.external_customers),
+        ),
+        RUN_2,
+    )
+    return reported(stored.report(), stored.orders())
+
+
 @query
 def report_load_log(spark, sf_dir):
-    """Latest load time per customer row, and the next log entry over all rows."""
-    rows = details(spark, sf_dir)
-    per_customer = rows.groupBy("customer_name").agg(
+    """Latest load time per customer, and the log entry over all tables."""
+    state = loaded_orders(spark, sf_dir, REPORT_CUT)
+    per_customer = report.order_details(*state).groupBy("customer_name").agg(
         incremental.high_water(report.LOAD_TIMES, RUN_1).alias("load_dttm")
     )
-    total = report.next_log_entry(rows, RUN_1).select(F.lit("all").alias("customer_name"), "load_dttm")
-    return per_customer.unionByName(total)
+    entry = report.latest_load(list(state), RUN_1)
+    return per_customer.unionByName(entry.withColumn("customer_name", F.lit("all")))
 
 
 @query
@@ -637,7 +674,7 @@ def stage_documents_by_time(spark, sf_dir):
     collection = b.restaurant_collection(spark, sf_dir)
     for limit in (7, None, None):
         staging.stage_documents(collection, store, "ordersystem_restaurants", limit=limit)
-    staged = store.read("ordersystem_restaurants")
+    staged = staging.staged_documents(store, "ordersystem_restaurants")
     name = docs.text_field("object_value", "name").alias("restaurant_name")
     return staged.select("object_id", name, "update_ts")
 

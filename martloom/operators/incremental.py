@@ -47,7 +47,8 @@ def batch_cursor(batch: DataFrame, cursor: str):
 
 def high_water(columns: list[str], default) -> Column:
     """Greatest value over several columns of all rows, each defaulting when it has none."""
-    return F.greatest(*[F.coalesce(F.max(c), F.lit(default)) for c in columns])
+    marks = [F.coalesce(F.max(c), F.lit(default)) for c in columns]
+    return F.greatest(*marks) if len(marks) > 1 else marks[0]
 
 
 def last_loaded(load_log: DataFrame, column: str = "load_dttm", default: datetime = EPOCH) -> Column:

@@ -100,14 +100,15 @@ def merge_upsert(
     insert_cols: Sequence[str] | None = None,
     stamp: tuple[str, datetime] | None = None,
     id_column: str | None = None,
+    numbered: DataFrame | None = None,
     on_duplicate: str = "error",
     prefer: Sequence[Column] = (),
 ) -> DataFrame:
     """SQL MERGE: update the listed columns of matched rows, insert the others.
 
     ``stamp`` is a (column, time) written on every touched row. ``id_column`` gets new surrogate keys
-    above the present ones; kept rows keep theirs. Target columns outside ``insert_cols`` are NULL in
-    new rows.
+    above those in ``numbered`` (the target unless given); kept rows keep theirs. Target columns outside
+    ``insert_cols`` are NULL in new rows.
     """
     batch = one_row_per_key(source, keys, on_duplicate, prefer)
     updated = update_from(target, batch, keys, update_cols, stamp)
@@ -116,7 +117,8 @@ def merge_upsert(
     if stamp:
         fresh = fresh.withColumn(stamp[0], F.lit(stamp[1]))
     if id_column:
-        fresh = assign_keys(fresh, [*keys, *[c for c in insert_cols if c not in keys]], id_column, target)
+        numbered = target if numbered is None else numbered
+        fresh = assign_keys(fresh, [*keys, *[c for c in insert_cols if c not in keys]], id_column, numbered)
     return updated.unionByName(_shaped(fresh, target))
 
 
@@ -154,6 +156,19 @@ def touched_partitions(
     return own.unionByName(moved).distinct()
 
 
+def touched_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str
+) -> DataFrame:
+    """Rows of the partitions that an upsert of ``source`` changes.
+
+    Where the partition is part of the key, untouched partitions are not read at all; otherwise only
+    their key columns are. Merge into these rows and write the result with
+    :func:`martloom.sources.tables.replace_touched`, which leaves the rest of the table alone.
+    """
+    touched = touched_partitions(target, source, keys, partition_col)
+    return target.join(touched, [partition_col], "left_semi").select(*target.columns)
+
+
 def upsert_partitions(
     target: DataFrame,
     source: DataFrame,
@@ -162,15 +177,8 @@ def upsert_partitions(
     keep: Sequence[str] = (),
     **options,
 ) -> DataFrame:
-    """Upsert for a large partitioned table: the new content of the touched partitions only.
-
-    Write the result with :func:`martloom.sources.tables.replace_touched`. Where the partition is
-    part of the key, untouched partitions are not read at all; otherwise only their key column is.
-    The writer also takes the touched list, so that a partition whose rows all moved is emptied.
-    """
-    touched = touched_partitions(target, source, keys, partition_col)
-    affected = target.join(touched, [partition_col], "left_semi").select(*target.columns)
-    return upsert_on_key(affected, source, keys, keep, **options)
+    """New content of the partitions that an upsert into a large partitioned table touches."""
+    return upsert_on_key(touched_rows(target, source, keys, partition_col), source, keys, keep, **options)
 
 
 def _shaped(df: DataFrame, target: DataFrame) -> DataFrame:

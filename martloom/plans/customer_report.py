@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,11 +90,31 @@ def changed_customers(
     )
 
 
-def customer_aggregates(details: DataFrame) -> DataFrame:
+def report_lines(f_order: DataFrame, d_craftsman: DataFrame, d_product: DataFrame) -> DataFrame:
+    """Orders as the report needs them: narrow rows with price and type of the product.
+
+    Customer attributes are joined after the aggregation, so no order row carries them through a
+    shuffle. Orders of an unknown craftsman or product drop out, as in the full star join.
+    """
+    orders = f_order.select(
+        "order_id",
+        "product_id",
+        "craftsman_id",
+        "customer_id",
+        "order_status",
+        days_between("order_created_date", "order_completion_date").alias("diff_order_date"),
+        month_period("order_created_date").alias("report_period"),
+    )
+    products = d_product.select("product_id", "product_price", "product_type")
+    known = d_craftsman.select("craftsman_id")
+    return orders.join(products, "product_id").join(known, "craftsman_id", "left_semi").drop("product_id")
+
+
+def customer_aggregates(lines: DataFrame, d_customer: DataFrame) -> DataFrame:
     """Money, order counts and the median completion time per customer and month."""
     status = F.col("order_status")
     money = F.sum("product_price").cast("decimal(28,2)")
-    return details.groupBy(*CUSTOMER_ATTRIBUTES, "report_period").agg(
+    per_month = lines.groupBy(*REPORT_KEY).agg(
         money.alias("customer_money"),
         (money * F.lit(PLATFORM_SHARE).cast("decimal(2,1)")).alias("platform_money"),
         F.count("order_id").alias("count_order"),
@@ -104,33 +126,36 @@ def customer_aggregates(details: DataFrame) -> DataFrame:
         count_when(status == DONE).alias("count_order_done"),
         count_when(status != DONE).alias("count_order_not_done"),
     )
+    measures = [c for c in per_month.columns if c not in REPORT_KEY]
+    return per_month.join(d_customer.select(*CUSTOMER_ATTRIBUTES), "customer_id").select(
+        *CUSTOMER_ATTRIBUTES, *measures, "report_period"
+    )
 
 
-def top_categories(details: DataFrame, ties: str = "first") -> DataFrame:
+def top_categories(lines: DataFrame, ties: str = "first") -> DataFrame:
     """Most ordered product type per customer, over all months."""
-    return most_frequent(details, ["customer_id"], "product_type", ties)
+    return most_frequent(lines, ["customer_id"], "product_type", ties)
 
 
-def top_craftsmen(details: DataFrame, ties: str = "first") -> DataFrame:
+def top_craftsmen(lines: DataFrame, ties: str = "first") -> DataFrame:
     """Craftsman with most orders per customer, over all months."""
-    return most_frequent(details, ["customer_id"], "craftsman_id", ties)
+    return most_frequent(lines, ["customer_id"], "craftsman_id", ties)
 
 
-def report_rows(details: DataFrame, ties: str = "first") -> DataFrame:
-    """Report rows of the customers in ``details``, which must hold all of their orders.
+def report_rows(lines: DataFrame, d_customer: DataFrame, ties: str = "first") -> DataFrame:
+    """Report rows of the customers in ``lines``, which must hold all of their orders.
 
     ``ties="first"`` gives one row per customer and month; ``"all"`` repeats it for each tied top
     category and craftsman.
     """
-    category = top_categories(details, ties).select(
+    category = top_categories(lines, ties).select(
         "customer_id", F.col("product_type").alias("top_product_category")
     )
-    craftsman = top_craftsmen(details, ties).select(
+    craftsman = top_craftsmen(lines, ties).select(
         "customer_id", F.col("craftsman_id").alias("top_craftsman_id")
     )
-    return customer_aggregates(details).join(category, "customer_id", "left").join(
-        craftsman, "customer_id", "left"
-    )
+    rows = customer_aggregates(lines, d_customer)
+    return rows.join(category, "customer_id", "left").join(craftsman, "customer_id", "left")
 
 
 def customer_report(
@@ -155,11 +180,12 @@ def customer_report(
         touched = changed_customers(f_order, d_craftsman, d_customer, d_product, last_loaded(load_log))
         orders = f_order.join(touched, "customer_id", "left_semi")
     # Three aggregations read the joined rows, so they are written once.
-    details = materialize(order_details(orders, d_craftsman, d_customer, d_product), "order_details")
-    rows = report_rows(details, ties)
+    lines = materialize(report_lines(orders, d_craftsman, d_product), "report_lines")
+    rows = report_rows(lines, d_customer, ties)
     return rows if mart is None else upsert_on_key(mart, rows, REPORT_KEY)
 
 
-def next_log_entry(details: DataFrame, run_ts: datetime) -> DataFrame:
-    """Load-log row for the rows just reported: the latest load time among them."""
-    return details.agg(high_water(LOAD_TIMES, run_ts).alias("load_dttm"))
+def latest_load(tables: Sequence[DataFrame], run_ts: datetime) -> DataFrame:
+    """Load-log entry: the latest load time over all tables, the run time where a table has none."""
+    per_table = [t.agg(high_water(["load_dttm"], run_ts).alias("load_dttm")) for t in tables]
+    return reduce(DataFrame.unionByName, per_table).agg(F.max("load_dttm").alias("load_dttm"))

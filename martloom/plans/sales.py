@@ -12,7 +12,6 @@ from martloom.functions.numbers import count_when, signed, sum_when
 from martloom.operators.clean import conform, default_column, drop_present, keep_first
 from martloom.operators.joins import with_calendar
 from martloom.operators.merge import insert_new, touched_partitions, upsert_on_key, upsert_partitions
-from martloom.operators.quality import enforce
 from martloom.schemas import (
     F_CUSTOMER_RETENTION,
     F_SALES,
@@ -193,7 +192,7 @@ def run_sales_day(
     current = spark.read.schema(ddl(F_SALES)).parquet(facts)
     touched = touched_partitions(current, batch, ["uniq_id"], "date_id")
     changed = upsert_partitions(current, batch, ["uniq_id"], "date_id", keep=["created_at"])
-    tables.replace_touched(enforce(changed, F_SALES_RULES), facts, "date_id", touched)
+    tables.replace_touched(changed, facts, "date_id", touched, F_SALES_RULES)
 
     weekly = customer_retention(spark.read.schema(ddl(F_SALES)).parquet(facts), calendar, business_date)
     iso = business_date.isocalendar()

@@ -1,7 +1,7 @@
 """Incremental staging: documents by update time, ranks by id.
 
-One run takes the next batch after the stored cursor, upserts it, and publishes staging and load
-state together. An empty batch changes nothing.
+One run takes the next batch after the stored cursor and publishes it together with the load state.
+An empty batch changes nothing.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from martloom.functions.documents import document_text
-from martloom.operators.clean import conform
+from martloom.operators.clean import conform, keep_first
 from martloom.operators.incremental import (
     DOCUMENT_LIMIT,
     FIRST_ID,
@@ -23,7 +23,7 @@ from martloom.operators.incremental import (
     save_setting,
 )
 from martloom.operators.merge import upsert_on_key
-from martloom.schemas import RANKS, STAGED_DOCUMENT, empty_table
+from martloom.schemas import RANKS, RANKS_RULES, STAGED_DOCUMENT, STAGED_DOCUMENT_RULES, empty_table
 from martloom.session import materialize
 from martloom.sources.releases import Releases
 
@@ -42,8 +42,9 @@ def stage_documents(
 ) -> int:
     """Next documents of a collection as (object_id, object_value, update_ts); returns their number.
 
-    The latest version of a document wins within a batch. ``with_ties`` keeps documents that share
-    the update time at the cut in one batch; without it they would be skipped for good.
+    The batch is added to the staged ones, so a run costs what the batch costs, however much is
+    staged; :func:`staged_documents` shows the newest version of each. ``with_ties`` keeps documents
+    that share the update time at the cut in one batch; without it they would be skipped for good.
     """
     state = store.read(STATE, empty_state(store.spark))
     setting = get_setting(state, table) or {LAST_TS: FIRST_TS.isoformat()}
@@ -57,14 +58,22 @@ def stage_documents(
         document_text("*").alias("object_value"),
         F.col(cursor).alias("update_ts"),
     )
-    staged = store.read(table, empty_table(store.spark, STAGED_DOCUMENT))
-    merged = upsert_on_key(
-        staged, documents, ["object_id"], on_duplicate="latest", prefer=[F.desc("update_ts")]
-    )
-    store.publish({table: merged, STATE: save_setting(state, table, {LAST_TS: last})})
+    store.publish({STATE: save_setting(state, table, {LAST_TS: last})}, added={table: documents})
     return batch.count()
 
 
+def staged_documents(store: Releases, table: str) -> DataFrame:
+    """Newest staged version of each document."""
+    staged = store.read(table, empty_table(store.spark, STAGED_DOCUMENT))
+    return keep_first(staged, ["object_id"], [F.desc("update_ts"), F.desc("object_value")])
+
+
+def compact_documents(store: Releases, table: str) -> None:
+    """Rewrite the staged batches as one, without replaced versions."""
+    newest = staged_documents(store, table)
+    store.publish({table: newest}, rules={table: STAGED_DOCUMENT_RULES})
+
+
 def stage_ranks(ranks: DataFrame, store: Releases, table: str = "bonussystem_ranks", limit: int | None = 1) -> int:
     """Next rows of the ranks table by id; returns their number."""
     state = store.read(STATE, empty_state(store.spark))
@@ -75,5 +84,5 @@ def stage_ranks(ranks: DataFrame, store: Releases, table: str = "bonussystem_ran
         return 0
     staged = store.read(table, empty_table(store.spark, RANKS))
     merged = upsert_on_key(staged, conform(batch, RANKS), ["id"])
-    store.publish({table: merged, STATE: save_setting(state, table, {LAST_ID: last})})
+    store.publish({table: merged, STATE: save_setting(state, table, {LAST_ID: last})}, rules={table: RANKS_RULES})
     return batch.count()

@@ -188,6 +188,9 @@ F_ORDER = {
     "order_status": "string",
     "load_dttm": "timestamp",
 }
+F_ORDER_RULES = Constraints(
+    not_null=("order_id", "product_id", "craftsman_id", "customer_id"), unique=(("order_id",),)
+)
 LOAD_LOG = {
     "load_dttm": "timestamp",
 }

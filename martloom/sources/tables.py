@@ -32,10 +32,9 @@ def rebuild(
 
 def rebuild_typed(df: DataFrame, path: str, columns: dict[str, str], rules: Constraints) -> DataFrame:
     """Drop, create with declared types and constraints, reload. Nothing is written on a violation."""
-    spark = df.sparkSession
-    enforce(conform(df, columns), rules)
-    conform(df, columns).write.mode("overwrite").parquet(path)
-    return spark.read.schema(ddl(columns)).parquet(path)
+    checked = enforce(materialize(conform(df, columns), "typed"), rules)
+    checked.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(ddl(columns)).parquet(path)
 
 
 def replace_period(df: DataFrame, path: str, period: dict[str, object]) -> None:
@@ -64,13 +63,17 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> N
     )
 
 
-def replace_touched(df: DataFrame, path: str, partition_col: str, touched: DataFrame) -> None:
+def replace_touched(
+    df: DataFrame, path: str, partition_col: str, touched: DataFrame, rules: Constraints | None = None
+) -> None:
     """Write the new content of touched partitions; those left without rows are emptied.
 
-    The content is staged once in the shared folder, since it is read twice. ``touched`` lists
-    partition values, so what reaches the driver is bounded by the number of partitions.
+    The content is staged once in the shared folder, checked there, and then written. ``touched``
+    lists partition values, so what reaches the driver is bounded by the number of partitions.
     """
     staged = materialize(df, "touched")
+    if rules:
+        enforce(staged, rules)
     gone = touched.join(staged.select(partition_col), [partition_col], "left_anti").distinct().collect()
     write_partitions(staged, path, [partition_col])
     for row in gone:

@@ -2,6 +2,7 @@
 
 import os
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -14,13 +15,23 @@ pytestmark = pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), rea
 
 
 @pytest.fixture(scope="module")
-def db(sf_dir):
-    return database(sf_dir)
+def lines(spark, sf_dir):
+    """Comparison of every query; several at a time, since small queries mostly wait for the driver."""
+    db = database(sf_dir)
+
+    def outcome(name):
+        try:
+            return compare(spark, db.cursor(), name, sf_dir)
+        except Exception as error:
+            return f"FAIL  {name}: {error}"
+
+    with ThreadPoolExecutor(4) as pool:
+        return dict(zip(entry.queries(), pool.map(outcome, entry.queries())))
 
 
 @pytest.mark.parametrize("name", list(entry.queries()))
-def test_query(spark, db, sf_dir, name):
-    line = compare(spark, db, name, sf_dir)
+def test_query(lines, name):
+    line = lines[name]
     assert line.startswith(("ok", "rows")) and "TYPES" not in line, line
 
 

@@ -184,6 +184,12 @@ def test_report_increment_equals_full_rebuild(spark, rows, changed):
     assert rows(after, *columns) == rows(report.customer_report(*state), *columns)
 
 
+def test_load_log_entry(spark):
+    tables = warehouse_state(spark, [*ORDERS, (2, 2, 1, FEB, FEB, "done", T2)], PRODUCTS)
+    assert report.latest_load(list(tables), T1).collect() == [(T2,)]
+    assert report.latest_load([t.limit(0) for t in tables], T1).collect() == [(T1,)]
+
+
 def test_report_delta_marks_reported_months(spark, rows):
     mart = report.customer_report(*warehouse_state(spark, ORDERS, PRODUCTS))
     state = warehouse_state(spark, [*ORDERS, (2, 2, 1, FEB, FEB, "done", T2), (2, 2, 1, JAN, JAN, "done", T2)], PRODUCTS)

@@ -113,8 +113,22 @@ def test_documents_are_updated_and_ties_kept(spark, rows, tmp_path):
     assert staging.stage_documents(collection, store, "docs", limit=2) == 3
     changed = spark.createDataFrame([*docs, ("a", "x2", new)], schema)
     assert staging.stage_documents(changed, store, "docs", limit=2) == 1
-    got = rows(store.read("docs").select("object_id", F.get_json_object("object_value", "$.name")))
-    assert got == [("a", "x2"), ("b", "y"), ("c", "z")]
+    name = F.get_json_object("object_value", "$.name")
+    expected = [("a", "x2"), ("b", "y"), ("c", "z")]
+    assert rows(staging.staged_documents(store, "docs").select("object_id", name)) == expected
+    assert store.read("docs").count() == 4
+    staging.compact_documents(store, "docs")
+    assert rows(store.read("docs").select("object_id", name)) == expected
+    assert staging.stage_documents(changed, store, "docs") == 0  # the cursor survives compaction
+
+
+def test_release_with_broken_constraints_is_not_published(spark, tmp_path):
+    store = Releases(spark, str(tmp_path / "s"))
+    store.publish({"t": spark.range(1)})
+    rules = {"t": quality.Constraints(unique=(("id",),))}
+    with pytest.raises(ValueError, match="unique"):
+        store.publish({"t": spark.range(1).union(spark.range(1))}, rules=rules)
+    assert store.read("t").count() == 1
 
 
 # --- streaming ---
