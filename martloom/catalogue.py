@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import date, datetime
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -64,6 +65,20 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[shown(name, type_).alias(name) for name, type_ in df.dtypes])
 
 
+_STORED: dict[tuple, tuple[DataFrame, ...]] = {}
+_STORING = RLock()
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> tuple[DataFrame, ...]:
+    """Tables that a pipeline finds in storage when it runs: written to the shared folder by the first
+    query of the application that needs them, read by the others."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    with _STORING:
+        if key not in _STORED:
+            _STORED[key] = tuple(materialize(df, name) for df in build(spark, sf_dir))
+        return _STORED[key]
+
+
 # --- calendar, dimensions and daily facts ---
 
 
@@ -188,8 +203,8 @@ def f_sales_signed(spark, sf_dir):
 
 def two_loads_of_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Sales before 1999, then everything from 1998 on, with all lines of 1998 refunded since."""
-    lines = increment(spark, sf_dir, items=False)
-    cal = calendar(spark, sf_dir)
+    lines = materialize(increment(spark, sf_dir, items=False).select(*STAGED), "staged")
+    cal = materialize(calendar(spark, sf_dir), "calendar")
     day = dates.as_day("date_time")
     first = sales.signed_sales(lines.filter(day < F.lit(CUT)), cal)
     later = lines.filter(day >= F.lit(date(1998, 1, 1)))
@@ -220,7 +235,7 @@ RETENTION = [
 
 
 def retention(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    cal = calendar(spark, sf_dir)
+    cal = materialize(calendar(spark, sf_dir), "calendar")
     lines = sales.signed_sales(increment(spark, sf_dir, items=False), cal)
     return sales.customer_retention(lines, cal, **options).select(*RETENTION)
 
@@ -269,18 +284,19 @@ def stage_days_replaced(spark, sf_dir):
 # --- craft-market warehouse ---
 
 
-def market(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query
+def conform_sources(spark, sf_dir):
     return warehouse.conform_sources(b.market_sources(spark, sf_dir))
 
 
-@query
-def conform_sources(spark, sf_dir):
-    return market(spark, sf_dir)
+def market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed market lines, as the dimension and order loads find them."""
+    return stored(spark, sf_dir, "market", lambda *at: [conform_sources(*at)])[0]
 
 
 def loads(spark: SparkSession, sf_dir: str, cut: date) -> tuple[DataFrame, DataFrame]:
     """Market lines of the first load, with old addresses and product types, and of the second."""
-    rows = materialize(market(spark, sf_dir), "market")
+    rows = market(spark, sf_dir)
     first = rows.filter(F.col("order_created_date") < F.lit(cut))
     for column in ("craftsman_address", "customer_address", "product_type"):
         first = first.withColumn(column, F.concat(F.lit("old "), column))
@@ -347,22 +363,26 @@ def by_natural_key(orders: DataFrame, craftsmen: DataFrame, customers: DataFrame
 
 @query
 def fact_key_lookup(spark, sf_dir):
-    rows = materialize(market(spark, sf_dir), "market")
+    rows = market(spark, sf_dir)
     craftsmen, customers, products = dimensions(spark, rows, RUN_1)
     resolved = warehouse.resolve_order_keys(rows, craftsmen, customers, products)
     return by_natural_key(resolved, craftsmen, customers, products)
 
 
-def loaded_orders(spark: SparkSession, sf_dir: str, cut: date):
-    """Dimensions and orders after two loads.
+def loaded_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """Orders, craftsmen, customers and products after two loads, as the report finds them.
 
     Craftsmen and products are loaded once. The second load brings the orders since the cut and
     updates the customers of those orders.
     """
-    rows = materialize(market(spark, sf_dir), "market")
+    return stored(spark, sf_dir, "warehouse", _load_orders)
+
+
+def _load_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    rows = market(spark, sf_dir)
     craftsmen, customers, products = dimensions(spark, rows, RUN_1)
     day = F.col("order_created_date")
-    second = rows.filter(day >= F.lit(cut))
+    second = rows.filter(day >= F.lit(REPORT_CUT))
     moved = second.withColumn("customer_address", F.concat(F.lit("new "), "customer_address"))
     customers = materialize(warehouse.merge_customers(customers, moved, RUN_2), "dim")
     options = {"on_duplicate": "latest", "prefer": warehouse.latest_order()}
@@ -370,18 +390,18 @@ def loaded_orders(spark: SparkSession, sf_dir: str, cut: date):
         warehouse.resolve_order_keys(rows, craftsmen, customers, products), "resolved"
     )
     first = warehouse.merge_orders(
-        empty_table(spark, F_ORDER), resolved.filter(day < F.lit(cut)), RUN_1, **options
+        empty_table(spark, F_ORDER), resolved.filter(day < F.lit(REPORT_CUT)), RUN_1, **options
     )
     orders = warehouse.merge_orders(
-        materialize(first, "f_order"), resolved.filter(day >= F.lit(cut)), RUN_2, **options
+        materialize(first, "f_order"), resolved.filter(day >= F.lit(REPORT_CUT)), RUN_2, **options
     )
-    return materialize(orders, "f_order"), craftsmen, customers, products
+    return orders, craftsmen, customers, products
 
 
 @query
 def merge_f_order(spark, sf_dir):
     """Loaded before 1999 with all orders still open, then in full."""
-    rows = materialize(market(spark, sf_dir), "market")
+    rows = market(spark, sf_dir)
     craftsmen, customers, products = dimensions(spark, rows, RUN_1)
     resolved = materialize(
         warehouse.resolve_order_keys(rows, craftsmen, customers, products), "resolved"
@@ -412,7 +432,7 @@ def first_state(orders, craftsmen, customers, products):
 
 @query
 def report_delta(spark, sf_dir):
-    state = loaded_orders(spark, sf_dir, REPORT_CUT)
+    state = loaded_orders(spark, sf_dir)
     orders, craftsmen, customers, products = first_state(*state)
     mart = report.customer_aggregates(report.report_lines(orders, craftsmen, products), customers)
     delta = report.report_delta(report.order_details(*state), log_of(spark, RUN_1), mart)
@@ -424,7 +444,7 @@ def report_delta(spark, sf_dir):
 
 @query
 def report_changed_customers(spark, sf_dir):
-    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
+    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir)
     since = incremental.last_loaded(log_of(spark, RUN_1))
     changed = report.changed_customers(orders, craftsmen, customers, products, since)
     return changed.join(customers, "customer_id").select("customer_name")
@@ -432,28 +452,28 @@ def report_changed_customers(spark, sf_dir):
 
 @query
 def report_aggregates(spark, sf_dir):
-    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
+    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir)
     lines = report.report_lines(orders, craftsmen, products)
     return report.customer_aggregates(lines, customers).drop("customer_id")
 
 
 @query
 def top_category_ties_all(spark, sf_dir):
-    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
+    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir)
     top = report.top_categories(report.report_lines(orders, craftsmen, products), "all")
     return joins.lookup(top, customers, ["customer_id"], {"customer_name": "customer_name"}).drop("customer_id")
 
 
 @query
 def top_craftsman_ties_all(spark, sf_dir):
-    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
+    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir)
     rows = by_natural_key(orders, craftsmen, customers, products)
     return ranking.most_frequent(rows, ["customer_name"], "craftsman_name", "all")
 
 
 @query
 def top_craftsman_first(spark, sf_dir):
-    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
+    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir)
     rows = by_natural_key(orders, craftsmen, customers, products)
     return ranking.most_frequent(rows, ["customer_name"], "craftsman_name", "first")
 
@@ -469,14 +489,14 @@ def reported(rows: DataFrame, orders: DataFrame) -> DataFrame:
 
 @query
 def customer_report_first_load(spark, sf_dir):
-    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir, REPORT_CUT)
+    orders, craftsmen, customers, products = loaded_orders(spark, sf_dir)
     return reported(report.customer_report(orders, craftsmen, customers, products), orders)
 
 
 @query
 def customer_report_increment(spark, sf_dir):
     """First state reported, then brought up to date from what changed."""
-    state = loaded_orders(spark, sf_dir, REPORT_CUT)
+    state = loaded_orders(spark, sf_dir)
     before = materialize(report.customer_report(*first_state(*state)), "customer_report")
     after = report.customer_report(*state, mart=before, load_log=log_of(spark, RUN_1))
     return reported(after, state[0])
@@ -521,7 +541,7 @@ def market_load_two_runs(spark, sf_dir):
 @query
 def report_load_log(spark, sf_dir):
     """Latest load time per customer, and the log entry over all tables."""
-    state = loaded_orders(spark, sf_dir, REPORT_CUT)
+    state = loaded_orders(spark, sf_dir)
     per_customer = report.order_details(*state).groupBy("customer_name").agg(
         incremental.high_water(report.LOAD_TIMES, RUN_1).alias("load_dttm")
     )
@@ -554,8 +574,13 @@ def update_from_source(spark, sf_dir):
 # --- document warehouse ---
 
 
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged order documents, as the document warehouse finds them."""
+    return stored(spark, sf_dir, "order_documents", lambda *at: [b.order_documents(*at)])[0]
+
+
 def parsed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.parse_orders(b.order_documents(spark, sf_dir))
+    return documents.parse_orders(order_documents(spark, sf_dir))
 
 
 @query
@@ -583,7 +608,7 @@ def dm_products_latest(spark, sf_dir):
 
 def document_warehouse(spark: SparkSession, sf_dir: str) -> documents.DocumentWarehouse:
     return documents.build_document_warehouse(
-        b.order_documents(spark, sf_dir), b.user_documents(spark, sf_dir), b.restaurant_documents(spark, sf_dir)
+        order_documents(spark, sf_dir), b.user_documents(spark, sf_dir), b.restaurant_documents(spark, sf_dir)
     )
 
 
