@@ -30,7 +30,8 @@ def incremental_extract(
     the cursor has moved on; ``with_ties`` takes them all. Without a limit everything new is taken
     and nothing has to be sorted.
     """
-    fresh = source.filter(F.col(cursor) > F.lit(last))
+    # As a value of the column's own type, or the scan could not compare it.
+    fresh = source.filter(F.col(cursor) > F.lit(last).cast(source.schema[cursor].dataType))
     if limit is None:
         return fresh
     batch = fresh.orderBy(cursor).limit(limit)

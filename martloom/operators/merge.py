@@ -26,27 +26,22 @@ def one_row_per_key(
     """Guard against a batch that would change one target row twice.
 
     ``on_duplicate="error"`` fails the job on the second row of a key; ``"latest"`` keeps the first
-    row in ``prefer`` order. Rows with a NULL key match nothing and pass unchecked.
+    row in ``prefer`` order. The result stays partitioned by key, so a join on it adds no shuffle.
     """
-    has_key = _all(F.col(k).isNotNull() for k in keys)
-    keyed = source.filter(has_key)
     if on_duplicate == "latest":
         order = [*prefer, *[F.col(c) for c in source.columns if c not in keys]]
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        checked = keyed.withColumn("_place", place).filter("_place = 1")
+        checked = source.withColumn("_place", place).filter("_place = 1")
     elif on_duplicate == "error":
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
         shown = F.to_json(F.struct(*keys))
         fail = F.raise_error(F.concat(F.lit("batch holds a key twice: "), shown)).cast("boolean")
-        checked = keyed.withColumn("_place", place).filter(
+        checked = source.withColumn("_place", place).filter(
             F.when(F.col("_place") == 1, F.lit(True)).otherwise(fail)
         )
     else:
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    checked = checked.drop("_place")
-    if not _nullable(source, keys):
-        return checked
-    return checked.unionByName(source.filter(~has_key))
+    return checked.drop("_place")
 
 
 def update_from(
@@ -110,10 +105,14 @@ def merge_upsert(
     above those in ``numbered`` (the target unless given); kept rows keep theirs. Target columns outside
     ``insert_cols`` are NULL in new rows.
     """
-    batch = one_row_per_key(source, keys, on_duplicate, prefer)
-    updated = update_from(target, batch, keys, update_cols, stamp)
     insert_cols = list(insert_cols or [*keys, *update_cols])
+    has_key = _all(F.col(k).isNotNull() for k in keys)
+    batch = one_row_per_key(source.filter(has_key), keys, on_duplicate, prefer)
+    updated = update_from(target, batch, keys, update_cols, stamp)
     fresh = new_rows(batch, target, keys).select(*insert_cols)
+    if any(source.schema[k].nullable for k in keys):
+        # A NULL key matches nothing: such rows skip the joins and are inserted.
+        fresh = fresh.unionByName(source.filter(~has_key).select(*insert_cols))
     if stamp:
         fresh = fresh.withColumn(stamp[0], F.lit(stamp[1]))
     if id_column:
@@ -191,9 +190,5 @@ def _shaped(df: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _nullable(df: DataFrame, columns: Sequence[str]) -> bool:
-    return any(df.schema[c].nullable for c in columns)
-
-
 def _all(conditions) -> Column:
     return reduce(lambda a, b: a & b, conditions)
