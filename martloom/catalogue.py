@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martloom import bindings as b
 from martloom.functions import dates, documents as docs, numbers
 from martloom.operators import incremental, joins, keys, merge, quality, ranking
-from martloom.operators.clean import conform, drop_present, keep_first, nan_to_null
+from martloom.operators.clean import conform, drop_present, nan_to_null, project
 from martloom.plans import checks, customer_report as report, daily, documents, sales, staging, warehouse
 from martloom.plans.market_load import MarketWarehouse
 from martloom.schemas import (
@@ -27,6 +27,7 @@ from martloom.schemas import (
     D_PRODUCT,
     F_ORDER,
     F_SALES,
+    PRICE_LOG,
     LOAD_LOG,
     SALES_DIMENSIONS,
     ddl,
@@ -711,7 +712,7 @@ EVENT_STATE = {
 
 @query
 def stream_upsert(spark, sf_dir):
-    """Last event per user and day, kept by a file stream of four files in four micro-batches."""
+    """Last event per user and day, kept by a stream of files in arbitrary order, one per micro-batch."""
     source, target = scratch_path(spark, "event-files"), scratch_path(spark, "last-events")
     events = b.table(spark, sf_dir, "events").select(
         "user_id", dates.as_day("ts").alias("event_day"), "ts", "event_type", "value"
@@ -719,7 +720,7 @@ def stream_upsert(spark, sf_dir):
     events.repartition(4, "event_type").write.parquet(source)
     stream = read_file_stream(spark, source, EVENT_STATE, files_per_batch=1)
     upsert_stream(
-        stream, target, EVENT_STATE, ["user_id", "event_day", "event_type"], "event_day",
+        stream, target, EVENT_STATE, ["user_id", "event_day"], "event_day",
         scratch_path(spark, "checkpoint"), [F.desc("ts")],
     ).awaitTermination()
     return spark.read.schema(ddl(EVENT_STATE)).parquet(target)
@@ -758,6 +759,15 @@ def stage_customer_research(spark, sf_dir):
     return conform(files.read_csv(spark, path, CUSTOMER_RESEARCH), {**CUSTOMER_RESEARCH, "sales_amt": "decimal(18,2)"})
 
 
+@query
+def stage_price_log(spark, sf_dir):
+    """Prices landed as CSV and staged onto the declared columns under their new names."""
+    path = scratch_path(spark, "price-csv")
+    files.land(b.price_log(spark, sf_dir), path)
+    staged = conform(files.read_csv(spark, path, PRICE_LOG), PRICE_LOG)
+    return project(staged, {"item_id": "item_id", "category": "category_name", "list_price": "price"})
+
+
 @query
 def document_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "part-json")
@@ -870,6 +880,17 @@ def dq_results(spark, sf_dir):
     return checks.log_checks(logs, required, RUN_1.date()).drop("check_date")
 
 
+@query
+def dq_log(spark, sf_dir):
+    """Results of two runs in the result log."""
+    path = scratch_path(spark, "dq_checks_results")
+    logs = {"user_activity_log": b.user_activity_log(spark, sf_dir)}
+    for moment, expected in ((RUN_1, checks.EXPECTED_CUSTOMERS), (RUN_2, 150)):
+        results = checks.log_checks(logs, {"user_activity_log": ["customer_id"]}, moment.date(), expected)
+        tables.append(results, path)
+    return spark.read.parquet(path)
+
+
 @query
 def constraint_violations(spark, sf_dir):
     """Constraints of the sales fact, checked against lines that have not been cleaned."""

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martloom.operators.merge import upsert_partitions
+from martloom.operators.clean import keep_first
+from martloom.operators.merge import touched_rows
 from martloom.schemas import ddl, empty_table
 from martloom.session import materialize
 from martloom.sources.tables import write_partitions
@@ -32,9 +33,10 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge every micro-batch into a Parquet table partitioned by ``partition_col``, a part of the key.
 
-    Only partitions that the batch names are read and rewritten. A batch that runs again after a
-    failure upserts the same rows and leaves the same table, so no batch number has to be kept.
-    Within a batch the first row in ``prefer`` order wins its key. Takes what is there and stops.
+    Of all rows of a key, stored and new, the first in ``prefer`` order stays, so the table does not
+    depend on how rows fall into batches, and a late file does not undo a newer row. Only partitions
+    that the batch names are read and rewritten. A batch that runs again after a failure leaves the
+    same table, so no batch number has to be kept. Takes what is there and stops.
     """
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
@@ -44,10 +46,9 @@ def upsert_stream(
     def merge_batch(batch: DataFrame, _: int) -> None:
         table = batch.sparkSession.read.schema(ddl(columns)).parquet(table_path)
         rows = materialize(batch.select(*columns), "micro-batch")
-        changed = upsert_partitions(
-            table, rows, keys, partition_col, on_duplicate="latest", prefer=prefer
-        )
-        write_partitions(changed, table_path, [partition_col])
+        known = touched_rows(table, rows, keys, partition_col).select(*columns)
+        order = [*prefer, *[F.col(c) for c in columns if c not in keys]]
+        write_partitions(keep_first(known.unionByName(rows), keys, order), table_path, [partition_col])
 
     return (
         source.writeStream.foreachBatch(merge_batch)

@@ -148,6 +148,8 @@ def test_stream_upsert_continues_from_its_checkpoint(spark, rows, tmp_path):
 
     assert arrive(("a", day, T1, 1), ("a", day, T2, 2), ("b", day, T1, 3)) == [("a", 2), ("b", 3)]
     assert arrive(("b", day, T2, 4), ("c", date(2024, 1, 2), T1, 5)) == [("a", 2), ("b", 4), ("c", 5)]
+    # a late row does not undo a newer one
+    assert arrive(("a", day, T1, 9)) == [("a", 2), ("b", 4), ("c", 5)]
 
 
 # --- CSV ---
