@@ -80,6 +80,15 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> tuple[DataFram
         return _STORED[key]
 
 
+def store_again(spark: SparkSession, sf_dir: str):
+    """Build the stored tables anew, one after the other; yields the name of each when it is written."""
+    with _STORING:
+        _STORED.clear()
+    for name, build in (("market", market), ("warehouse", loaded_orders), ("order_documents", order_documents)):
+        build(spark, sf_dir)
+        yield name
+
+
 # --- calendar, dimensions and daily facts ---
 
 
