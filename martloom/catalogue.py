@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom import bindings as b
 from martloom.functions import dates, documents as docs, numbers
-from martloom.operators import incremental, joins, keys, merge, quality, ranking
+from martloom.operators import incremental, joins, merge, quality, ranking
 from martloom.operators.clean import conform, drop_present, nan_to_null, project
 from martloom.plans import checks, customer_report as report, daily, documents, sales, staging, warehouse
 from martloom.plans.market_load import MarketWarehouse
