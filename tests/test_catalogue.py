@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from martloom import catalogue, oracle  # noqa: E402
 from compare import compare, database  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the supplied tables")
@@ -26,10 +27,10 @@ def lines(spark, sf_dir):
             return f"FAIL  {name}: {error}"
 
     with ThreadPoolExecutor(4) as pool:
-        return dict(zip(entry.queries(), pool.map(outcome, entry.queries())))
+        return dict(zip(catalogue.QUERIES, pool.map(outcome, catalogue.QUERIES)))
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query(lines, name):
     line = lines[name]
     assert line.startswith(("ok", "rows")) and "TYPES" not in line, line
@@ -37,7 +38,7 @@ def test_query(lines, name):
 
 def test_every_oracle_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"file_arrival"}
+    assert set(catalogue.QUERIES) - set(oracle.statements()) == {"file_arrival"}
 
 
 def test_entry(spark):
