@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from martloom.session import scratch_path
 
@@ -41,7 +42,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType
 ) -> DataFrame:
     """Apply ``function`` to each Arrow batch; nothing is held between batches."""
     ship(df.sparkSession)

@@ -130,17 +130,17 @@ def duplicate_spans(
 
 def dedup(
     documents: DataFrame, scratch: Scratch, window: int = 50, id_column: str = "doc_id", text_column: str = "text",
-    digest: bool = False,
+    digest: bool = False, prefix: str = "",
 ) -> DataFrame:
     """Every row with n_words, n_removed and kept_text; other columns as they are.
 
     With ``digest`` there is kept_sha256 in place of the text columns: that of the kept words, joined by a space.
 
     kept_text is the text itself where nothing goes, and else its words without the duplicate spans,
-    each with the white space before it. Null and empty texts keep nothing and lose nothing. An input
-    column of one of the new names is replaced.
+    each with the white space before it. Null and empty texts keep nothing and lose nothing. ``prefix``
+    stands before the new names; an input column of a new name is replaced.
     """
-    new = ["n_words", "n_removed", "kept_sha256" if digest else "kept_text"]
+    new = [prefix + c for c in ("n_words", "n_removed", "kept_sha256" if digest else "kept_text")]
     base = documents.drop(*new)
     spans = duplicate_spans(documents, scratch, window, id_column, text_column).withColumnsRenamed({id_column: "__doc", "spans": "__spans"})
     joined = base.join(spans, F.col(id_column).cast("bigint") == F.col("__doc"), "left").drop("__doc")
@@ -166,7 +166,7 @@ def dedup(
         arrays += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())]
         return pa.RecordBatch.from_arrays(arrays, [*[f.name for f in rest], *new])
 
-    return map_batches(joined, run, f"{schema}, n_words bigint, n_removed bigint, {new[2]} string")
+    return map_batches(joined, run, f"{schema}, {new[0]} bigint, {new[1]} bigint, {new[2]} string")
 
 
 def without(raw: bytes, words: list[bytes], gone: np.ndarray) -> str:

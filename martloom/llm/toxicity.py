@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.llm import logistic
-from martloom.llm.runtime import map_batches
+from martloom.llm.runtime import Scratch, map_batches
 
 #: Labelled texts a model is fitted on, the first by a hash of their id.
 SAMPLE = 8_000
@@ -115,10 +115,13 @@ def train(
 
     id_kind = joined.schema["id"].dataType.simpleString()
     flags = ", ".join(f"{c} int" for c in categories)
-    listed = map_batches(joined.select("id", *categories, "text"), run, f"id {id_kind}, {flags}, terms array<binary>").checkpoint()
+    scratch = Scratch(spark)
+    listed = map_batches(joined.select("id", *categories, "text"), run, f"id {id_kind}, {flags}, terms array<binary>")
+    listed = scratch.keep(listed, "terms")
     totals = listed.agg(F.count("*"), *[F.sum(c) for c in categories]).first()
     n = totals[0]
     if not n:
+        scratch.drop("terms")
         return Chain(list(categories), [0.0] * len(categories), [np.zeros(k) for k in range(len(categories))], [0.95] * len(categories), {})
     counts = listed.select(F.explode("terms").alias("term"), *categories).groupBy("term").agg(
         F.count("*").alias("n"), *[F.sum(c).alias(c) for c in categories]
@@ -135,6 +138,7 @@ def train(
     vocabulary = {bytes(r[0]): i for i, r in enumerate(best)}
     known = F.array_intersect("terms", F.lit([bytes(r[0]) for r in best])) if best else F.array().cast("array<binary>")
     rows = listed.select("id", *categories, known.alias("terms")).orderBy(F.xxhash64("id"), "id").collect()
+    scratch.drop("terms")
     x, y = np.zeros((len(rows), len(vocabulary))), np.zeros((len(rows), len(categories)))
     for i, row in enumerate(rows):
         x[i, [vocabulary[bytes(t)] for t in row["terms"]]] = 1
@@ -163,6 +167,19 @@ def score(documents: DataFrame, chain: Chain, id_column: str = "doc_id", text_co
     return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, {columns}").withColumnRenamed("id", id_column)
 
 
+def reject(documents: DataFrame, chain: Chain, category: str, text_column: str = "text") -> DataFrame:
+    """The rows that are not in ``category``, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(chain)
+    at = chain.names.index(category)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        model = shared.value
+        texts = batch.column(batch.schema.get_field_index(text_column)).cast(pa.binary()).to_pylist()
+        return batch.filter(pa.array(model.probabilities(texts)[:, at] <= model.thresholds[at]))
+
+    return map_batches(documents, run, documents.schema)
+
+
 def categories_of(labels: DataFrame) -> DataFrame:
     """The two categories that the labels table knows: junk, the opposite of quality, and toxic."""
     return labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
