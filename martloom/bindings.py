@@ -16,11 +16,7 @@ from martloom.plans.warehouse import (
     MarketSources,
 )
 from martloom.schemas import ddl
-
-# Products are numbered; a document lists at most this many consecutive ones of an order, so no
-# document outgrows a row however many lines an order has.
-ITEMS_PER_DOCUMENT = 10000
-
+from martloom.session import materialize
 
 # Declared, so that opening a table reads no file footers.
 TABLES = {
@@ -174,7 +170,10 @@ def _people(df: DataFrame, role: str, key: str, name: str, nation: str) -> DataF
 
 def market_sources(spark: SparkSession, sf_dir: str) -> MarketSources:
     """Order lines dealt to the four source shapes by order priority: the two highest classes and
-    the middle one get a source each, the rest share the external one."""
+    the middle one get a source each, the rest, those without one included, share the external one.
+
+    The lines are written once, a folder for each source, since five inputs read them.
+    """
     craftsmen = _people(table(spark, sf_dir, "supplier"), "craftsman", "s_suppkey", "s_name", "s_nationkey")
     customers = _people(table(spark, sf_dir, "customer"), "customer", "c_custkey", "c_name", "c_nationkey")
     products = table(spark, sf_dir, "part").select(
@@ -184,11 +183,12 @@ def market_sources(spark: SparkSession, sf_dir: str) -> MarketSources:
         F.col("p_type").alias("product_type"),
         money("p_retailprice").alias("product_price"),
     )
-    lines = _market_lines(spark, sf_dir)
-    urgent = lines.filter(F.col("priority") == "1-URGENT")
-    high = lines.filter(F.col("priority") == "2-HIGH")
-    medium = lines.filter(F.col("priority") == "3-MEDIUM")
-    other = lines.filter(~F.col("priority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"))
+    own = F.col("priority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")
+    lines = _market_lines(spark, sf_dir).withColumn("source", F.when(own, F.col("priority")).otherwise("other"))
+    lines = materialize(lines.drop("priority"), "market-lines", ["source"])
+    urgent, high, medium, other = (
+        lines.filter(F.col("source") == s).drop("source") for s in ("1-URGENT", "2-HIGH", "3-MEDIUM", "other")
+    )
     pairs = high.select("product_id", "craftsman_id").distinct()
     return MarketSources(
         wide=urgent.join(craftsmen, "craftsman_id").join(products, "product_id")
@@ -208,23 +208,25 @@ def market_sources(spark: SparkSession, sf_dir: str) -> MarketSources:
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as staged JSON documents.
+    """Orders as staged JSON documents, one for each supplier of an order, who is its restaurant.
 
-    A document holds the products of an order from one block of consecutive product numbers, each
-    product once, which bounds its size. Orders without lines give a document without items.
+    A document lists the distinct products that one supplier has in one order, each once with the
+    whole quantity. An order without lines gives one document without items, from a restaurant by
+    its number.
     """
-    block = F.floor(F.col("l_partkey") / ITEMS_PER_DOCUMENT).cast("bigint")
     products = (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_partkey")
-        .agg(F.max(money("l_extendedprice")).alias("price"), F.sum("l_quantity").cast("int").alias("quantity"))
+        .groupBy("l_orderkey", "l_suppkey", "l_partkey")
+        .agg(F.sum("l_quantity").cast("int").alias("quantity"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     item = F.struct(
-        F.col("l_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), "price", "quantity"
+        F.col("l_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
+        money("p_retailprice").alias("price"), "quantity",
     )
-    baskets = products.groupBy("l_orderkey", block.alias("block")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    baskets = products.groupBy("l_orderkey", "l_suppkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
     restaurants = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
+    restaurant = F.coalesce("l_suppkey", F.pmod(F.col("o_orderkey"), restaurants))
     day_seconds = F.pmod(F.col("o_orderkey"), F.lit(86400)).cast("int")
     millis = F.pmod(F.col("o_orderkey"), F.lit(1000)).cast("decimal(10,3)") / 1000
     ordered_at = F.col("o_orderdate") + F.make_dt_interval(
@@ -239,12 +241,12 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = document_text(
         F.date_format(ordered_at, "yyyy-MM-dd HH:mm:ss.SSS").alias("date"),
         status.alias("final_status"),
-        F.struct(F.pmod(F.col("o_orderkey"), restaurants).cast("string").alias("id")).alias("restaurant"),
+        F.struct(restaurant.cast("string").alias("id")).alias("restaurant"),
         F.struct(F.col("o_custkey").cast("string").alias("id")).alias("user"),
         F.col("items").alias("order_items"),
     )
     return orders.select(
-        F.concat_ws("-", "o_orderkey", F.coalesce("block", F.lit(0))).alias("object_id"),
+        F.concat_ws("-", "o_orderkey", restaurant).alias("object_id"),
         document.alias("object_value"),
         F.col("o_orderdate").alias("update_ts"),
     )

@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType
+
+
+def clock(value: datetime, kind: DataType | str = "timestamp") -> Column:
+    """A point in time as a column of ``kind``.
+
+    A value without a zone is a clock time of the session's zone (for a timestamp without time zone,
+    just that clock time), whatever the zone of the driver's machine.
+    """
+    return (F.lit(value) if value.tzinfo else F.lit(value.isoformat(sep=" "))).cast(kind)
 
 
 def as_day(ts) -> Column:

@@ -24,8 +24,10 @@ def default_column(df: DataFrame, name: str, value) -> DataFrame:
 
 
 def required(df: DataFrame, *names: str) -> DataFrame:
-    """Rows in which every named column has a value."""
-    return df.na.drop(subset=list(names))
+    """Rows in which no named column is NULL; NaN is a value."""
+    for name in names:
+        df = df.filter(F.col(name).isNotNull())
+    return df
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:

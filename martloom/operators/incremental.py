@@ -6,7 +6,9 @@ import json
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import TimestampType
 
+from martloom.functions.dates import clock
 from martloom.functions.documents import settings_map
 from martloom.operators.merge import upsert_on_key
 from martloom.schemas import ddl, empty_table
@@ -31,7 +33,9 @@ def incremental_extract(
     and nothing has to be sorted.
     """
     # As a value of the column's own type, or the scan could not compare it.
-    fresh = source.filter(F.col(cursor) > F.lit(last).cast(source.schema[cursor].dataType))
+    kind = source.schema[cursor].dataType
+    after = clock(last, kind) if isinstance(last, datetime) else F.lit(last).cast(kind)
+    fresh = source.filter(F.col(cursor) > after)
     if limit is None:
         return fresh
     batch = fresh.orderBy(cursor).limit(limit)
@@ -42,19 +46,23 @@ def incremental_extract(
 
 
 def batch_cursor(batch: DataFrame, cursor: str):
-    """Largest cursor value of a batch, None when it is empty."""
-    return batch.agg(F.max(cursor)).first()[0]
+    """Largest cursor value of a batch, None when it is empty; a time as a clock time of the session's zone."""
+    last = F.max(cursor)
+    if isinstance(batch.schema[cursor].dataType, TimestampType):
+        last = last.cast("timestamp_ntz")
+    return batch.agg(last).first()[0]
 
 
 def high_water(columns: list[str], default) -> Column:
     """Greatest value over several columns of all rows, each defaulting when it has none."""
-    marks = [F.coalesce(F.max(c), F.lit(default)) for c in columns]
+    start = clock(default) if isinstance(default, datetime) else F.lit(default)
+    marks = [F.coalesce(F.max(c), start) for c in columns]
     return F.greatest(*marks) if len(marks) > 1 else marks[0]
 
 
 def last_loaded(load_log: DataFrame, column: str = "load_dttm", default: datetime = EPOCH) -> Column:
     """Latest recorded load time as a scalar, ``default`` for an empty log."""
-    return load_log.agg(F.coalesce(F.max(column), F.lit(default).cast(load_log.schema[column].dataType))).scalar()
+    return load_log.agg(F.coalesce(F.max(column), clock(default, load_log.schema[column].dataType))).scalar()
 
 
 def changed_since(columns: list[str], moment: Column) -> Column:

@@ -11,16 +11,19 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     """SQL ``column NOT IN (SELECT other_column FROM other)`` with its NULL rules.
 
     Spark plans the SQL form as a null-aware anti join that must broadcast the subquery. Here the
-    NULL rules come from two scalars (is the subquery empty, does it hold a NULL), and the rest is a
-    plain anti join, so the other side may be of any size.
+    NULL rules come from one scalar (is the subquery empty, does it hold a NULL), and the rest is a
+    plain anti join, so the other side may be of any size. It is first cut to the values ``df`` names.
     """
     facts = other.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(other_column).isNull()).alias("nulls")
-    )
-    is_empty = facts.select(F.col("n") == 0).scalar()
-    has_null = facts.select(F.col("nulls") > 0).scalar()
+        F.struct(
+            (F.count(F.lit(1)) == 0).alias("is_empty"),
+            (F.count_if(F.col(other_column).isNull()) > 0).alias("has_null"),
+        )
+    ).scalar()
+    is_empty, has_null = facts.getField("is_empty"), facts.getField("has_null")
     candidates = df.filter(~has_null & (F.col(column).isNotNull() | is_empty))
-    known = other.select(F.col(other_column).alias("_known"))
+    named = df.select(F.col(column).alias("_named"))
+    known = other.select(F.col(other_column).alias("_known")).join(named, F.col("_known") == F.col("_named"), "left_semi")
     return candidates.join(known, F.col(column) == F.col("_known"), "left_anti")
 
 

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from martloom.functions.dates import clock
 from martloom.operators.joins import not_in
 from martloom.operators.keys import assign_keys
 
@@ -64,7 +65,7 @@ def update_from(
     values = {c: F.when(F.col("_hit"), F.col(f"_src_{c}")).otherwise(F.col(c)) for c in update_cols}
     if stamp:
         column, moment = stamp
-        stamped = F.lit(moment).cast(target.schema[column].dataType)
+        stamped = clock(moment, target.schema[column].dataType)
         values[column] = F.when(F.col("_hit"), stamped).otherwise(F.col(column))
     return joined.select(*[values[c].alias(c) if c in values else F.col(c) for c in target.columns])
 
@@ -114,7 +115,7 @@ def merge_upsert(
         # A NULL key matches nothing: such rows skip the joins and are inserted.
         fresh = fresh.unionByName(source.filter(~has_key).select(*insert_cols))
     if stamp:
-        fresh = fresh.withColumn(stamp[0], F.lit(stamp[1]))
+        fresh = fresh.withColumn(stamp[0], clock(stamp[1], target.schema[stamp[0]].dataType))
     if id_column:
         numbered = target if numbered is None else numbered
         fresh = assign_keys(fresh, [*keys, *[c for c in insert_cols if c not in keys]], id_column, numbered)
@@ -139,8 +140,12 @@ def upsert_on_key(
 
 def insert_new(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Insert-only dimension: add batch rows whose key is NOT IN the target."""
-    fresh = not_in(source, key, target, key)
-    return target.unionByName(_shaped(fresh, target))
+    return target.unionByName(inserted(target, source, key))
+
+
+def inserted(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The rows that :func:`insert_new` adds."""
+    return _shaped(not_in(source, key, target, key), target)
 
 
 def touched_partitions(
@@ -164,8 +169,21 @@ def touched_rows(
     their key columns are. Merge into these rows and write the result with
     :func:`martloom.sources.tables.replace_touched`, which leaves the rest of the table alone.
     """
-    touched = touched_partitions(target, source, keys, partition_col)
-    return target.join(touched, [partition_col], "left_semi").select(*target.columns)
+    return in_partitions(target, touched_partitions(target, source, keys, partition_col), partition_col)
+
+
+def in_partitions(target: DataFrame, touched: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of ``target`` in the partitions that ``touched`` lists, the NULL partition like any other.
+
+    The values, at most one per partition, are fetched, so that the scan lists only those folders.
+    """
+    kind = target.schema[partition_col].dataType
+    shown = touched.select(F.col(partition_col).cast("string")).distinct().collect()
+    values = [F.lit(r[0]).cast(kind) for r in shown if r[0] is not None]
+    inside = F.col(partition_col).isin(*values) if values else F.lit(False)
+    if len(values) < len(shown):
+        inside = inside | F.col(partition_col).isNull()
+    return target.filter(inside)
 
 
 def upsert_partitions(

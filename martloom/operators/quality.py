@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martloom.operators.clean import required
+
 PASSED, FAILED = 0, 1
 
 
@@ -77,7 +80,7 @@ class Constraints:
 
 
 def violations(df: DataFrame, rules: Constraints) -> DataFrame:
-    """Number of violating rows per rule, zero included.
+    """Number of violating rows per rule, zero included; no rows without rules.
 
     Row rules take one narrow aggregation. Each unique rule counts rows beyond the first of a key,
     combined map-side, so many copies of one key cost no more than one row per task.
@@ -95,17 +98,15 @@ def violations(df: DataFrame, rules: Constraints) -> DataFrame:
         )
         parts.append(counted.select(F.inline(F.array(*counted.columns))))
     for key in rules.unique:
-        per_key = df.na.drop(subset=list(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        per_key = required(df, *key).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
         surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint")
         parts.append(
             per_key.agg(surplus.alias("violations")).select(
                 F.lit(f"unique({','.join(key)})").alias("rule"), "violations"
             )
         )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    result = df.sparkSession.createDataFrame([], "rule string, violations bigint")
+    return reduce(DataFrame.unionByName, parts) if parts else result
 
 
 def enforce(df: DataFrame, rules: Constraints) -> DataFrame:

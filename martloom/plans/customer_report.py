@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martloom.functions.dates import days_between, month_period
 from martloom.functions.numbers import count_when, exact_median
 from martloom.operators.incremental import changed_since, high_water, last_loaded
-from martloom.operators.merge import upsert_on_key
 from martloom.operators.ranking import most_frequent
 from martloom.session import materialize
 
@@ -170,19 +169,20 @@ def customer_report(
     """The mart after this load.
 
     Without a mart everything is reported. Otherwise the customers that a change touches are reported
-    again from all of their orders and replace their rows; the others keep theirs, so the result
-    equals a full rebuild. ``ties="all"`` has several rows per key and is only for a first load.
+    again from all of their orders, in place of all of their rows; the others keep theirs, so the result
+    equals a full rebuild.
     """
     orders = f_order
     if mart is not None:
-        if ties != "first":
-            raise ValueError("an existing mart is updated by key, which needs ties='first'")
         touched = changed_customers(f_order, d_craftsman, d_customer, d_product, last_loaded(load_log))
+        touched = materialize(touched, "changed_customers")
         orders = f_order.join(touched, "customer_id", "left_semi")
     # Three aggregations read the joined rows, so they are written once.
     lines = materialize(report_lines(orders, d_craftsman, d_product), "report_lines")
     rows = report_rows(lines, d_customer, ties)
-    return rows if mart is None else upsert_on_key(mart, rows, REPORT_KEY)
+    if mart is None:
+        return rows
+    return mart.join(touched, "customer_id", "left_anti").select(*rows.columns).unionByName(rows)
 
 
 def latest_load(tables: Sequence[DataFrame], run_ts: datetime) -> DataFrame:

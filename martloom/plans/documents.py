@@ -20,12 +20,18 @@ from martloom.operators.keys import assign_keys
 from martloom.operators.ranking import top_of_group
 from martloom.schemas import (
     DM_ORDERS,
+    DM_ORDERS_RULES,
     DM_PRODUCTS,
+    DM_PRODUCTS_RULES,
     DM_RESTAURANTS,
+    DM_RESTAURANTS_RULES,
     DM_TIMESTAMPS,
+    DM_TIMESTAMPS_RULES,
     DM_USERS,
+    DM_USERS_RULES,
     FAR_FUTURE,
     FCT_PRODUCT_SALES,
+    FCT_PRODUCT_SALES_RULES,
     FINISHED_STATES,
     ORDER_DOCUMENT,
     RESTAURANT_DOCUMENT,
@@ -189,14 +195,25 @@ class DocumentWarehouse:
     fct_product_sales: DataFrame
 
 
+#: Constraints of the six tables, for publishing them.
+RULES = {
+    "dm_users": DM_USERS_RULES,
+    "dm_restaurants": DM_RESTAURANTS_RULES,
+    "dm_timestamps": DM_TIMESTAMPS_RULES,
+    "dm_products": DM_PRODUCTS_RULES,
+    "dm_orders": DM_ORDERS_RULES,
+    "fct_product_sales": FCT_PRODUCT_SALES_RULES,
+}
+
+
 def build_document_warehouse(
     order_documents: DataFrame, user_documents: DataFrame, restaurant_documents: DataFrame
 ) -> DocumentWarehouse:
     """All six tables from the staged documents, parsed once.
 
     What several tables read (parsed orders, dimensions, orders) is written once in the shared
-    folder. Publish the result with :class:`martloom.sources.releases.Releases`, so that no reader
-    sees tables of different refreshes.
+    folder. Publish the result with :class:`martloom.sources.releases.Releases` under ``RULES``, so that no
+    reader sees tables of different refreshes or broken ones.
     """
     orders = materialize(parse_orders(order_documents), "orders")
     users = materialize(dm_users(user_documents), "dm_users")

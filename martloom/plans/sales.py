@@ -7,11 +7,11 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martloom.functions.dates import as_day, iso_week, iso_week_period
+from martloom.functions.dates import as_day, clock, iso_week, iso_week_period
 from martloom.functions.numbers import count_when, signed, sum_when
 from martloom.operators.clean import conform, default_column, drop_present, keep_first
 from martloom.operators.joins import with_calendar
-from martloom.operators.merge import insert_new, touched_partitions, upsert_on_key, upsert_partitions
+from martloom.operators.merge import insert_new, inserted, touched_partitions, upsert_on_key, upsert_partitions
 from martloom.schemas import (
     F_CUSTOMER_RETENTION,
     F_SALES,
@@ -51,18 +51,29 @@ def stage_orders(increment: DataFrame, path: str, business_date: date) -> None:
 
 def add_cities(d_city: DataFrame, orders: DataFrame) -> DataFrame:
     """Insert-only city dimension."""
-    return insert_new(d_city, orders.select("city_id", "city_name").distinct(), "city_id")
+    return insert_new(d_city, cities_of(orders), "city_id")
 
 
 def add_items(d_item: DataFrame, orders: DataFrame) -> DataFrame:
     """Insert-only item dimension."""
-    return insert_new(d_item, orders.select("item_id", "item_name").distinct(), "item_id")
+    return insert_new(d_item, items_of(orders), "item_id")
 
 
 def add_customers(d_customer: DataFrame, orders: DataFrame) -> DataFrame:
     """Insert-only customer dimension with the largest city id per customer and name."""
-    found = orders.groupBy("customer_id", "first_name", "last_name").agg(F.max("city_id").alias("city_id"))
-    return insert_new(d_customer, found, "customer_id")
+    return insert_new(d_customer, customers_of(orders), "customer_id")
+
+
+def cities_of(orders: DataFrame) -> DataFrame:
+    return orders.select("city_id", "city_name").distinct()
+
+
+def items_of(orders: DataFrame) -> DataFrame:
+    return orders.select("item_id", "item_name").distinct()
+
+
+def customers_of(orders: DataFrame) -> DataFrame:
+    return orders.groupBy("customer_id", "first_name", "last_name").agg(F.max("city_id").alias("city_id"))
 
 
 def upsert_dimension(dim: DataFrame, found: DataFrame, key: str) -> DataFrame:
@@ -94,7 +105,7 @@ def signed_sales(
 
 def load_f_sales(target: DataFrame, sales: DataFrame, run_ts: datetime) -> DataFrame:
     """Upsert by ``uniq_id``; a line loaded before keeps its creation time."""
-    batch = conform(sales.withColumn("created_at", F.lit(run_ts)), F_SALES)
+    batch = conform(sales.withColumn("created_at", clock(run_ts)), F_SALES)
     return upsert_on_key(target, batch, ["uniq_id"], keep=["created_at"])
 
 
@@ -163,7 +174,7 @@ def run_sales_day(
 ) -> None:
     """Daily run: increment file -> staging -> dimensions -> f_sales -> retention of the week.
 
-    Staging and retention replace their own day and week, the dimensions are published together, and
+    Staging and retention replace their own day and week, new dimension rows are added in one release, and
     of ``f_sales``, partitioned by ``date_id``, only the partitions that the increment touches are
     rewritten. A rerun of a day gives the same tables.
     """
@@ -177,16 +188,14 @@ def run_sales_day(
 
     dims = Releases(spark, f"{root}/dimensions")
     empty = {name: empty_table(spark, columns) for name, columns in SALES_DIMENSIONS.items()}
-    d_city, d_item, d_customer = (dims.read(name, empty[name]) for name in SALES_DIMENSIONS)
-    dims.publish(
-        {
-            "d_city": add_cities(d_city, orders),
-            "d_item": add_items(d_item, orders),
-            "d_customer": add_customers(d_customer, orders),
-        }
-    )
-
-    sales = signed_sales(orders, calendar, business_date).withColumn("created_at", F.lit(run_ts))
+    found = {
+        "d_city": (cities_of(orders), "city_id"),
+        "d_item": (items_of(orders), "item_id"),
+        "d_customer": (customers_of(orders), "customer_id"),
+    }
+    dims.publish({}, added={n: inserted(dims.read(n, empty[n]), rows, key) for n, (rows, key) in found.items()})
+
+    sales = signed_sales(orders, calendar, business_date).withColumn("created_at", clock(run_ts))
     batch = materialize(conform(sales, F_SALES), "f_sales_batch")
     empty_table(spark, F_SALES).write.mode("ignore").partitionBy("date_id").parquet(facts)
     current = spark.read.schema(ddl(F_SALES)).parquet(facts)

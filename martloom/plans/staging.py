@@ -22,12 +22,13 @@ from martloom.operators.incremental import (
     incremental_extract,
     save_setting,
 )
-from martloom.operators.merge import upsert_on_key
 from martloom.schemas import RANKS, RANKS_RULES, STAGED_DOCUMENT, STAGED_DOCUMENT_RULES, empty_table
 from martloom.session import materialize
 from martloom.sources.releases import Releases
 
 STATE = "srv_wf_settings"
+#: Batches of documents that are staged before they are rewritten as one.
+COMPACT_AFTER = 96
 LAST_ID, LAST_TS = "last_loaded_id", "last_loaded_ts"
 
 
@@ -43,7 +44,7 @@ def stage_documents(
     """Next documents of a collection as (object_id, object_value, update_ts); returns their number.
 
     The batch is added to the staged ones, so a run costs what the batch costs, however much is
-    staged; :func:`staged_documents` shows the newest version of each. ``with_ties`` keeps documents
+    staged, but for one run in COMPACT_AFTER that rewrites them as one; :func:`staged_documents` shows the newest version of each. ``with_ties`` keeps documents
     that share the update time at the cut in one batch; without it they would be skipped for good.
     """
     state = store.read(STATE, empty_state(store.spark))
@@ -59,6 +60,8 @@ def stage_documents(
         F.col(cursor).alias("update_ts"),
     )
     store.publish({STATE: save_setting(state, table, {LAST_TS: last})}, added={table: documents})
+    if len(store.current()[1][table]) > COMPACT_AFTER:
+        compact_documents(store, table)
     return batch.count()
 
 
@@ -75,14 +78,15 @@ def compact_documents(store: Releases, table: str) -> None:
 
 
 def stage_ranks(ranks: DataFrame, store: Releases, table: str = "bonussystem_ranks", limit: int | None = 1) -> int:
-    """Next rows of the ranks table by id; returns their number."""
+    """Next rows of the ranks table by id; returns their number. They are added to the staged ones; an id
+    past the cursor is new, so the batch alone is checked."""
     state = store.read(STATE, empty_state(store.spark))
     setting = get_setting(state, table) or {LAST_ID: FIRST_ID}
     batch = materialize(incremental_extract(ranks, "id", int(setting[LAST_ID]), limit), "batch")
     last = batch_cursor(batch, "id")
     if last is None:
         return 0
-    staged = store.read(table, empty_table(store.spark, RANKS))
-    merged = upsert_on_key(staged, conform(batch, RANKS), ["id"])
-    store.publish({table: merged, STATE: save_setting(state, table, {LAST_ID: last})}, rules={table: RANKS_RULES})
+    store.publish(
+        {STATE: save_setting(state, table, {LAST_ID: last})}, added={table: conform(batch, RANKS)}, rules={table: RANKS_RULES}
+    )
     return batch.count()

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.operators.joins import lookup
 from martloom.operators.merge import merge_upsert
+from martloom.session import materialize
 
 # The canonical columns of a market line.
 ORDER_COLUMNS = ["order_id", "order_created_date", "order_completion_date", "order_status"]
@@ -79,7 +80,8 @@ def _merge_dim(
     run_ts: datetime,
     options: dict,
 ) -> DataFrame:
-    found = market.select(*keys, *attributes).distinct()
+    # The update, the insert and their checks read the batch.
+    found = materialize(market.select(*keys, *attributes).distinct(), "batch")
     return merge_upsert(
         dim, found, keys, attributes, stamp=("load_dttm", run_ts), id_column=id_column, **options
     )

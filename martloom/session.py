@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,11 +22,17 @@ SETTINGS = {
 
 
 def build_session(app: str = "martloom", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with the settings the pipelines are tuned for; ``extra`` uses ``__`` for dots."""
+    """Session with the settings the pipelines are tuned for; ``extra`` uses ``__`` for dots.
+
+    A local session without a ``spark.checkpoint.dir`` gets a new folder of this machine for it.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+    settings = {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}
+    if master and master.startswith("local["):
+        settings.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="martloom-"))
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -49,12 +57,30 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/martloom/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For a costly result that several branches read: unlike a cache it outlives lost executors, and
-    as Parquet each branch still reads only the columns it needs.
+    as Parquet each branch still reads only the columns, and the partitions, it needs.
     """
     path = scratch_path(df.sparkSession, purpose)
+    df.write.partitionBy(*partition_by).parquet(path)
+    columns = df.columns
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*columns)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder whose last reader is done."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_table(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """A table like that of :func:`materialize`, removed when the block ends."""
+    path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove(df.sparkSession, path)

@@ -14,9 +14,10 @@ def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFra
     """CSV with a header row, its columns cast to the declared types.
 
     Declared columns that the file lacks stay absent, and undeclared ones stay text, so optional
-    columns can be told from empty ones. A value that does not fit its type is an error.
+    columns can be told from empty ones. A value that does not fit its type is an error, and so is a
+    file whose header is not that of the others.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = _checked_header(spark, path)
     return raw.select(*[F.col(c).cast(columns.get(c, "string")).alias(c) for c in raw.columns])
 
 
@@ -41,12 +42,20 @@ def read_csv_inferred(spark: SparkSession, path: str, date_cols: Sequence[str] =
         return T.StringType()
 
     schema = T.StructType([T.StructField(f.name, final_type(f)) for f in raw.schema.fields])
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+
+
+def _checked_header(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text; each file's header is compared with the first one's when it is read."""
+    names = spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def land(df: DataFrame, path: str) -> None:
-    """Write the raw copy once; a path that is there already is left as it is."""
-    df.write.mode("ignore").option("header", True).csv(path)
+    """Write the raw copy once, times to the microsecond; a path that is there already is left as it is."""
+    times = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    df.write.mode("ignore").options(header=True, **times).csv(path)
 
 
 def read_documents(

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 from martloom.operators.clean import conform
 from martloom.operators.quality import Constraints, enforce
 from martloom.schemas import ddl
-from martloom.session import materialize
+from martloom.session import materialize, scratch_table
+
+#: Fixed value: the folder name that Spark gives to a NULL partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -43,7 +46,8 @@ def replace_period(df: DataFrame, path: str, period: dict[str, object]) -> None:
     The rows go straight to the period's partition folder. An empty batch therefore clears the
     period, which a dynamic partition overwrite would not do.
     """
-    folder = "/".join([path.rstrip("/"), *[f"{name}={value}" for name, value in period.items()]])
+    shown = {name: NO_VALUE if value is None else value for name, value in period.items()}
+    folder = "/".join([path.rstrip("/"), *[f"{name}={value}" for name, value in shown.items()]])
     df.drop(*period).write.mode("overwrite").parquet(folder)
 
 
@@ -71,10 +75,11 @@ def replace_touched(
     The content is staged once in the shared folder, checked there, and then written. ``touched``
     lists partition values, so what reaches the driver is bounded by the number of partitions.
     """
-    staged = materialize(df, "touched")
-    if rules:
-        enforce(staged, rules)
-    gone = touched.join(staged.select(partition_col), [partition_col], "left_anti").distinct().collect()
-    write_partitions(staged, path, [partition_col])
-    for row in gone:
-        replace_period(staged.filter(F.lit(False)), path, {partition_col: row[0]})
+    with scratch_table(df, "touched") as staged:
+        if rules:
+            enforce(staged, rules)
+        left = staged.select(F.col(partition_col).alias("_left")).distinct()
+        gone = touched.join(left, F.col(partition_col).eqNullSafe(F.col("_left")), "left_anti").distinct().collect()
+        write_partitions(staged, path, [partition_col])
+        for row in gone:
+            replace_period(staged.filter(F.lit(False)), path, {partition_col: row[0]})

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from martloom.operators.clean import keep_first
 from martloom.operators.merge import touched_rows
 from martloom.schemas import ddl, empty_table
-from martloom.session import materialize
+from martloom.session import scratch_table
 from martloom.sources.tables import write_partitions
 
 
@@ -45,10 +45,10 @@ def upsert_stream(
 
     def merge_batch(batch: DataFrame, _: int) -> None:
         table = batch.sparkSession.read.schema(ddl(columns)).parquet(table_path)
-        rows = materialize(batch.select(*columns), "micro-batch")
-        known = touched_rows(table, rows, keys, partition_col).select(*columns)
         order = [*prefer, *[F.col(c) for c in columns if c not in keys]]
-        write_partitions(keep_first(known.unionByName(rows), keys, order), table_path, [partition_col])
+        with scratch_table(batch.select(*columns), "micro-batch") as rows:
+            known = touched_rows(table, rows, keys, partition_col).select(*columns)
+            write_partitions(keep_first(known.unionByName(rows), keys, order), table_path, [partition_col])
 
     return (
         source.writeStream.foreachBatch(merge_batch)

@@ -38,7 +38,7 @@ def test_query(lines, name):
 
 def test_every_oracle_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(catalogue.QUERIES) - set(oracle.statements()) == {"file_arrival"}
+    assert set(catalogue.QUERIES) - set(oracle.statements()) == set()
 
 
 def test_entry(spark):
