@@ -9,13 +9,14 @@ chunked framing and verifies the payload's digest.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm.runtime import map_batches
+from martloom.llm.runtime import Scratch, map_batches
 from martloom.session import scratch_path
 
 VERSION = b"WARC/1.1"
@@ -99,7 +100,7 @@ def write_archives(
     pages: DataFrame, path: str, segment_bytes: int = 16_384, chunk_bytes: int = 4_096, records_per_file: int = 256,
     least_revisit_bytes: int = 0, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
 ) -> None:
-    """Write the pages as archives below ``path``, each file at most ``records_per_file`` segments long.
+    """Write the pages as gzip archives below ``path``, each file at most ``records_per_file`` segments long.
 
     Of pages with equal payloads of at least ``least_revisit_bytes`` the one with the smallest id is
     the response. Null html is an empty payload, a null url leaves the header out, rows with equal
@@ -110,7 +111,8 @@ def write_archives(
         F.col(id_column).cast("bigint").alias("page_id"), F.col(url_column).alias("url"), payload.alias("payload")
     ).withColumn("hex", F.sha1("payload"))
     digests = rows.select("page_id", "hex", F.octet_length("payload").cast("bigint").alias("size")).distinct()
-    firsts = digests.groupBy("hex").agg(F.min("page_id").alias("first"))
+    scratch = Scratch(pages.sparkSession)
+    firsts = scratch.keep(digests.groupBy("hex").agg(F.min("page_id").alias("first")), "first-pages")
     told = digests.join(firsts, "hex").withColumn(
         "refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("size") >= least_revisit_bytes), F.col("first"))
     )
@@ -134,8 +136,10 @@ def write_archives(
         records.select(F.col("record").cast("string"))
         .write.option("lineSep", "\r\n\r\n")
         .option("maxRecordsPerFile", records_per_file)
+        .option("compression", "gzip")
         .text(path)
     )
+    scratch.drop("first-pages")
 
 
 def parse(archive: bytes) -> Iterator[dict]:
@@ -185,13 +189,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     Segments may stand in any order and in any file. A missing segment, a length or a digest that
     does not fit fails the job. A folder without archives gives no rows.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     fields = RECORD.split(", ")
     kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
     schema = pa.schema([(name, kinds[kind]) for name, kind in (f.split(" ") for f in fields)])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [r for content in batch.column(0) for r in parse(content.as_py())]
+        rows = [r for content in batch.column(0) for r in parse(gzip.decompress(content.as_py()))]
         return pa.RecordBatch.from_pylist(rows, schema)
 
     records = map_batches(files, run, RECORD)

@@ -1,0 +1,490 @@
+"""Each operator against a brute-force version on small tables with nulls, empty and long texts, ties and repeats."""
+
+import gzip
+import hashlib
+import html as entities
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.llm import bpe, catalogue, decontaminate, html, jaccard, quality, rules, substrings, toxicity, urls, warc
+from martloom.llm.components import components
+from martloom.llm.runtime import Scratch
+from martloom.llm.words import Batch
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def split(text):
+    return (text or "").encode().split()
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Texts with copies, near copies, shared passages, repeats, odd white space, empty and null ones."""
+    r = random.Random(7)
+    say = lambda n: " ".join(r.choice(WORDS) for _ in range(n))
+    passage, base = say(70), say(150)
+    texts = [None, "", " \n\t ", "one", "one two", "ONE two", say(8), say(9), say(10)]
+    texts += [say(r.randint(20, 200)) for _ in range(30)]
+    texts += [say(30) + " " + passage + "\n" + say(20) for _ in range(6)] + [passage, passage[:200]]
+    texts += [base] * 5 + [base.upper(), base.replace(" ", "  \n")]
+    for edits in [0, 1, 1, 1, 2, 2, 3, 4, 5, 6] * 3:
+        words = base.split()
+        for _ in range(edits):
+            words[r.randrange(len(words))] = r.choice(WORDS)
+        texts.append(" ".join(words))
+    texts += ["the the the " * 40, "a b c d e\n" * 30, say(3000), say(60) + " é ü x " + say(5), "x" * 5000]
+    texts += [texts[40] + " more", " ".join(texts[50].split()[1:]), " ".join(base.split()[:100]) + " " + passage]
+    ids = list(range(len(texts)))
+    r.shuffle(ids)
+    return list(zip(ids, texts))
+
+
+@pytest.fixture(scope="module")
+def documents(spark, corpus):
+    rows = [(i, t, "en", "s", 1, "clash", "clash") for i, t in corpus]
+    return spark.createDataFrame(
+        rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words string, component_id string"
+    ).repartition(3)
+
+
+@pytest.fixture
+def empty(spark):
+    return spark.createDataFrame([], "doc_id bigint, text string")
+
+
+# 1 substring dedup
+
+
+def brute_removed(corpus, window):
+    starts = {}
+    for i, text in corpus:
+        words = split(text)
+        for s in range(len(words) - window + 1):
+            run = tuple(words[s : s + window])
+            starts[run] = min(starts.get(run, i), i)
+    out = {}
+    for i, text in corpus:
+        words = split(text)
+        gone = [False] * len(words)
+        for s in range(len(words) - window + 1):
+            if starts[tuple(words[s : s + window])] < i:
+                gone[s : s + window] = [True] * window
+        kept = [w for w, g in zip(words, gone) if not g]
+        out[i] = (len(words), sum(gone), hashlib.sha256(b" ".join(kept)).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("window", [50, 20, 3])
+def test_substring_dedup_equals_brute_force(spark, documents, corpus, window):
+    got = substrings.dedup(documents, Scratch(spark), window=window, digest=True)
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()} == brute_removed(corpus, window)
+
+
+def test_substring_dedup_keeps_white_space_and_columns(spark, documents, corpus):
+    got = {r["doc_id"]: r for r in substrings.dedup(documents, Scratch(spark), prefix="d_").collect()}
+    for i, text in corpus:
+        assert got[i]["n_words"] == "clash" and got[i]["text"] == text
+        if not got[i]["d_n_removed"]:
+            assert got[i]["d_kept_text"] == text
+    assert substrings.without(b" a b\n c d ", [b"a", b"b", b"c", b"d"], np.array([0, 1, 0, 1], bool)) == "a\n c"
+
+
+def test_substring_dedup_of_repeated_rows_and_empty_table(spark, empty):
+    text = " ".join(map(str, range(60)))
+    rows = spark.createDataFrame([(1, text), (1, text), (2, text), (None, text)], "doc_id bigint, text string")
+    got = sorted(substrings.dedup(rows, Scratch(spark), digest=True).select("doc_id", "n_removed").collect(), key=str)
+    assert [(r[0], r[1]) for r in got] == [(1, 0), (1, 0), (2, 60), (None, 0)]
+    assert substrings.dedup(empty, Scratch(spark)).count() == 0
+
+
+# 2 quality rules
+
+
+def test_repeat_lengths_equal_brute_force():
+    r = random.Random(3)
+    for _ in range(60):
+        texts = [" ".join(r.choice("abcd"[: r.randint(1, 4)]) for _ in range(r.randint(0, 30))).encode() for _ in range(5)]
+        expected = []
+        for words in map(bytes.split, texts):
+            for i in range(len(words)):
+                longest = 0
+                for j in range(len(words)):
+                    k = 0
+                    while i != j and max(i, j) + k < len(words) and words[i + k] == words[j + k]:
+                        k += 1
+                    longest = max(longest, k)
+                expected.append(longest)
+        assert quality.repeat_lengths(Batch(texts)).tolist() == expected
+
+
+def test_quality_counts(spark, documents, corpus):
+    got = {r["doc_id"]: r for r in quality.judge(documents).collect()}
+    for i, text in corpus:
+        words = split(text)
+        triples = [tuple(words[j : j + 3]) for j in range(len(words) - 2)]
+        inside = {j + k for j, t in enumerate(triples) if triples.count(t) > 1 for k in range(3)} if len(words) < 1000 else None
+        lines = [x for x in (text or "").split("\n") if split(x)]
+        row = got[i]
+        assert row["n_words"] == len(words) and row["word_chars"] == sum(len(w.decode()) for w in words)
+        assert row["n_dup_lines"] == len(lines) - len(set(lines))
+        if inside is not None:
+            assert row["n_repeat_words"] == len(inside)
+            assert row["base_failed"] == (len(words) < 50 or 100 * len(inside) > 50 * len(words))
+        assert not (row["base_failed"] and row["kept"])
+
+
+def test_quality_limits():
+    text = (" ".join(WORDS[:100]) + " " + " ".join(WORDS[:30])).encode()
+    found = quality.measures([text, b"", None, b"# a | <b>"], quality.Limits())
+    assert found["n_covered"].tolist() == [60, 0, 0, 0] and found["longest_repeat"].tolist() == [30, 0, 0, 0]
+    assert found["n_symbols"].tolist() == [0, 0, 0, 4]
+
+
+# 3 n-gram Jaccard join
+
+
+def brute_components(corpus, size, percent):
+    sets, parent = {}, {}
+    for i, text in corpus:
+        words = (text or "").encode().lower().split()
+        sets[i] = {tuple(words[j : j + size]) for j in range(len(words) - size + 1)} or ({tuple(words)} if words else set())
+        parent[i] = i
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= percent * len(sets[a] | sets[b]):
+            low, high = sorted((top(a), top(b)))
+            parent[high] = low
+    return {i: (len(sets[i]), top(i)) for i in sets}
+
+
+@pytest.mark.parametrize(("size", "percent", "extend"), [(3, 90, 40), (5, 80, 70), (1, 82, 0), (2, 85, 300)])
+def test_jaccard_join_equals_brute_force(spark, documents, corpus, size, percent, extend):
+    got = jaccard.link(documents, Scratch(spark), size, percent, extend)
+    expected = brute_components(corpus, size, percent)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == expected
+    assert sum(i != c for i, (_, c) in expected.items()) > 10
+
+
+def test_jaccard_join_finds_links_that_miss_the_pivot(spark):
+    # each set is a part of one sequence, linked to its neighbours and not to the smallest
+    words = [f"t{i}" for i in range(200)]
+    corpus = [(i, " ".join(words[4 * i : 4 * i + 60 + i])) for i in range(12)]
+    rows = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(rows, Scratch(spark), 3, 80).collect()}
+    assert got == brute_components(corpus, 3, 80)
+
+
+def test_jaccard_join_without_the_broadcast_counts(spark, documents, corpus, monkeypatch):
+    monkeypatch.setattr(jaccard, "COUNTS_LIMIT", 0)
+    monkeypatch.setattr(jaccard, "IDS_LIMIT", 0)
+    got = jaccard.link(documents, Scratch(spark), 3, 90, 40)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(corpus, 3, 90)
+
+
+def test_jaccard_join_of_repeats_nulls_and_empty_table(spark, empty):
+    rows = spark.createDataFrame([(5, "a b c d"), (5, "a b c d"), (3, "A b c d"), (None, "a b c d"), (9, None)], "doc_id bigint, text string")
+    got = sorted(jaccard.link(rows, Scratch(spark)).collect(), key=str)
+    assert sorted((str(r[0]), r[1], r[2]) for r in got) == [("3", 1, 3), ("5", 1, 3), ("5", 1, 3), ("9", 0, 9), ("None", 1, None)]
+    assert jaccard.link(empty, Scratch(spark)).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_least_shared_is_positive_and_a_bound(percent):
+    r = random.Random(percent)
+    for n in range(1, 400):
+        assert jaccard.least_shared(n, percent, 40) >= 1
+    for _ in range(300):
+        a = {r.random() for _ in range(r.randint(5, 80))}
+        b = {x for x in a if r.random() < 0.95} | {r.random() for _ in range(r.randint(0, 4))}
+        if b and 100 * len(a & b) >= percent * len(a | b):
+            cut = lambda s: set(sorted(s)[: int(jaccard.prefix_length(np.array([len(s)]), percent, 40)[0])])
+            assert len(cut(a) & cut(b)) >= max(jaccard.least_shared(len(s), percent, 40) for s in (a, b))
+
+
+# 4 url filters
+
+
+def test_components_equal_brute_force(spark):
+    r = random.Random(1)
+    edges = [(r.randrange(120), r.randrange(120)) for _ in range(70)] + [(i, i + 1) for i in range(200, 260)] + [(5, 5)]
+    edges += [(300, 300 + i) for i in range(1, 40)]
+    got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), Scratch(spark)).collect()}
+    group = {n: {n} for e in edges for n in e}
+    for a, b in edges:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for n in group[b]:
+                group[n] = group[a]
+    assert got == {n: min(g) for n, g in group.items()}
+    assert components(spark.createDataFrame([], "a bigint, b bigint"), Scratch(spark)).count() == 0
+
+
+def test_url_rules(spark):
+    pages = [
+        (1, "http://WWW.Example.com/en/x?y#z"), (2, "https://a.example.com/en/"), (3, "https://example.com/fr/"),
+        (4, "http://b.net/es/1"), (5, "http://b.net"), (6, None), (7, "no url"), (8, "http://notexample.com/en/"),
+        (9, "http://x.net/fr?/fr/"), (10, "http://com#/"), (10, "http://com#/"), (11, "http://com:80/"),
+    ]
+    rows = spark.createDataFrame(pages, "page_id bigint, url string")
+    given = spark.createDataFrame(urls.RULES, "host string, path string, verdict string")
+    none = spark.createDataFrame([], "a string, b string")
+    got = sorted((r[0], r[1], r[2], r[3], r[4]) for r in urls.filter_urls(rows, given, none, Scratch(spark)).collect())
+    assert got == [
+        (1, "www.example.com", "/en/x", "www.example.com/en/", "allow"), (2, "a.example.com", "/en/", "example.com/en/", "block"),
+        (3, "example.com", "/fr/", "com/", "allow"), (4, "b.net", "/es/1", "net/es/", "block"), (5, "b.net", "", None, "allow"),
+        (6, "", "", None, "allow"), (7, "", "", None, "allow"), (8, "notexample.com", "/en/", "com/", "allow"),
+        (9, "x.net", "/fr", None, "allow"), (10, "com", "", None, "allow"), (10, "com", "", None, "allow"), (11, "com:80", "/", None, "allow"),
+    ]
+
+
+def test_blocks_reach_aliases_and_allow_goes_first(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/") for i in range(6)], "page_id bigint, url string")
+    given = spark.createDataFrame([("h1.org", "/", "block"), ("h4.org", "/", "block"), ("h5.org", "/", "allow")], "host string, path string, verdict string")
+    ties = [(0, 9), (9, 1), (3, 4), (4, 5)]  # 9 is no page
+    edges = spark.createDataFrame([(f"http://h{a}.org/", f"http://h{b}.org/") for a, b in ties], "a string, b string")
+    got = {r["page_id"]: r["verdict"] for r in urls.filter_urls(pages, given, edges, Scratch(spark)).collect()}
+    assert got == {0: "block", 1: "block", 2: "allow", 3: "allow", 4: "block", 5: "allow"}
+
+
+def test_links_and_redirects(spark):
+    row = spark.createDataFrame(
+        [("http://A.org/x/?utm_a=1&p=2&ref=y#t", '<link href="https://c.org/q" rel="canonical"><p>')], "url string, html string"
+    ).select(urls.redirect_target(F.col("url")), urls.canonical_link(F.col("html"))).first()
+    assert tuple(row) == ("https://a.org/x?p=2", "https://c.org/q")
+
+
+# 5 toxicity, 6 quality classifier
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    r = random.Random(2)
+    rows = []
+    for i in range(900):
+        bad, junk = i % 7 == 0, i % 5 == 0
+        words = [r.choice(WORDS) for _ in range(r.randint(20, 60))]
+        for _ in range(3 if bad else 0):
+            words.insert(r.randrange(len(words)), r.choice(["Vile!", "rotten,", "foul"]))
+        rows.append((i, " ".join(w + "$$$" if junk else w for w in words), int(not junk), int(bad)))
+    return spark.createDataFrame(rows, "doc_id bigint, text string, quality int, toxic int")
+
+
+def test_chain_on_texts_it_has_not_seen(spark, labelled):
+    seen, new = labelled.filter("doc_id < 600"), labelled.filter("doc_id >= 600")
+    chain = toxicity.train(seen.select("doc_id", "text"), toxicity.categories_of(seen), ["junk", "toxic"])
+    got = toxicity.score(new, chain).join(new, "doc_id").collect()
+    assert sum(r["is_toxic"] == bool(r["toxic"]) for r in got) >= 0.97 * len(got)
+    assert sum(r["is_junk"] == (r["quality"] == 0) for r in got) >= 0.97 * len(got)
+    assert len(chain.weights[1]) == len(chain.weights[0]) + 1
+    kept = toxicity.reject(new, chain, "toxic")
+    assert kept.columns == new.columns and kept.count() == sum(not r["is_toxic"] for r in got)
+
+
+def test_chain_feeds_probabilities_out_of_fold():
+    x = np.random.default_rng(0).integers(0, 2, (400, 6)).astype(float)
+    y = np.column_stack([x[:, 0], x[:, 0] * x[:, 1]])
+    chain = toxicity.fit_chain(x, y, ["a", "b"], {bytes([i]): i for i in range(6)}, np.arange(400) % 4)
+    assert chain.weights[1][6] > 0
+
+
+def test_toxicity_of_odd_rows(spark, labelled, empty):
+    chain = toxicity.train(labelled.select("doc_id", "text"), toxicity.categories_of(labelled), ["junk", "toxic"])
+    odd = spark.createDataFrame([(1, None), (1, None), (2, ""), (None, "vile " * 9000)], "doc_id bigint, text string")
+    got = [(r["doc_id"], r["is_toxic"]) for r in toxicity.score(odd, chain).collect()]
+    assert sorted(got, key=str) == [(1, False), (1, False), (2, False), (None, True)]
+    none = toxicity.train(empty, spark.createDataFrame([], "doc_id bigint, junk int, toxic int"), ["junk", "toxic"])
+    assert not any(r["is_toxic"] for r in toxicity.score(odd, none).collect())
+
+
+def test_rules_on_held_out_texts(spark, labelled, empty):
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = rules.train(labelled.select("doc_id", "text"), labelled.filter(~held))
+    got = rules.score(labelled.filter(held), model).join(labelled, "doc_id").collect()
+    assert sum((r["score"] >= 0.3) == (r["quality"] == 1) for r in got) >= 0.97 * len(got)
+    assert model[1] and len(model[1]) < 120
+    odd = spark.createDataFrame([(1, None), (2, ""), (2, "")], "doc_id bigint, text string")
+    assert all(0 <= r["score"] <= 1 for r in rules.score(odd, model).collect())
+    assert rules.train(empty, spark.createDataFrame([], "doc_id bigint, quality int")) == (0.0, [])
+
+
+def test_rules_compile_to_the_same_scores(spark, labelled):
+    model = rules.train(labelled.select("doc_id", "text"), labelled)
+    texts = [r["text"].encode() for r in labelled.orderBy("doc_id").limit(50).collect()]
+    x = rules.statistics(texts)
+    margin = model[0] + sum(w * rules.holds(p, x) for w, p in model[1])
+    got = [r["score"] for r in rules.score(labelled.filter("doc_id < 50"), model).orderBy("doc_id").collect()]
+    assert np.allclose(got, 1 / (1 + np.exp(-margin)))
+
+
+def test_held_out_share_is_that_of_crc32(spark):
+    got = spark.range(50).select("id", (F.crc32(F.col("id").cast("string")) % 5 == 0).alias("held")).collect()
+    assert all(r["held"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in got)
+
+
+# 7 decontamination
+
+
+def brute_leaks(corpus, items, size, contained):
+    def shingles(text):
+        words = (text or "").encode().lower().split()
+        return {tuple(words[j : j + size]) for j in range(len(words) - size + 1)} or ({tuple(words)} if words else set())
+
+    out = {}
+    for k, item in items:
+        q = shingles(item)
+        for i, text in corpus:
+            shared = len(q & shingles(text))
+            if q and shared >= contained * len(q):
+                out[i, k] = (shared, len(q))
+    return out
+
+
+@pytest.fixture(scope="module")
+def items(corpus):
+    texts = [t for _, t in corpus if t and len(t.split()) > 30]
+    found = [(k, " ".join(t.split()[5 : 5 + 12 + k])) for k, t in enumerate(texts[::3])]
+    return [*found, (900, None), (901, ""), (902, "One TWO"), (903, found[0][1]), (904, "x y z")]
+
+
+def test_containment_equals_brute_force(spark, documents, corpus, items, monkeypatch):
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    expected = brute_leaks(corpus, items, 5, 0.8)
+    got = {(r["doc_id"], r["item_id"]): (r["n_shared"], r["n_shingles"]) for r in decontaminate.find(documents, table).collect()}
+    assert set(got) <= set(expected) and all(expected[p] == v for p, v in got.items())
+    assert len(got) >= 0.98 * len(expected) and len(expected) > 30
+    monkeypatch.setattr(decontaminate, "FILTER_LIMIT", 10)
+    again = decontaminate.find(documents, table)
+    assert {(r["doc_id"], r["item_id"]): (r["n_shared"], r["n_shingles"]) for r in again.collect()} == got
+
+
+def test_containment_of_empty_tables(spark, documents, empty):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.find(documents, none).count() == 0
+    assert decontaminate.find(empty, spark.createDataFrame([(1, "a b c d e f")], none.schema)).count() == 0
+
+
+# 8 WARC
+
+
+def test_warc_round_trip(spark, tmp_path):
+    body = "é" * 30_000
+    pages = [
+        (4, "http://a/", body), (2, "http://b/\r\nX: y", body), (3, None, None), (1, "u", ""), (5, "u", "WARC/1.1\r\n\r\n"),
+        (6, "u", "<p>x"), (6, "u", "<p>x"), (None, "u", "<p>x"),
+    ]
+    rows = spark.createDataFrame([(*p, "c") for p in pages], "page_id bigint, url string, html string, record_type string")
+    path = str(tmp_path / "w")
+    warc.write_archives(rows, path, segment_bytes=1000, chunk_bytes=300, records_per_file=7)
+    got = sorted((tuple(r) for r in warc.read_archives(spark, path).collect()), key=str)
+    firsts = {}
+    for i, _, h in pages:
+        if i is not None:
+            firsts[h or ""] = min(i, firsts.get(h or "", i))
+    expected = {
+        (i, len((h or "").encode()), warc.base32_sha1((h or "").encode()), "response" if firsts[h or ""] == i else "revisit", None if firsts[h or ""] == i else firsts[h or ""])
+        for i, _, h in pages
+    }
+    assert got == sorted(expected, key=str)
+
+
+def test_warc_notices_a_missing_segment(spark, tmp_path):
+    path = str(tmp_path / "w")
+    digest = warc.base32_sha1(b"x" * 500)
+    parts = list(warc.page_records(1, "u", b"x" * 500, digest, 500, None, 100, 50))
+    for name, kept in (("whole", parts[::-1]), ("short", parts[:-1])):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.gz").write_bytes(gzip.compress(b"".join(p + b"\r\n\r\n" for p in kept)))
+    assert warc.read_archives(spark, str(tmp_path / "whole")).first()["payload_bytes"] == 500
+    with pytest.raises(Exception, match="not complete"):
+        warc.read_archives(spark, str(tmp_path / "short")).collect()
+    with pytest.raises(ValueError):
+        warc.unchunked(b"5\r\nabc\r\n0\r\n\r\n")
+    rows = spark.createDataFrame([], "page_id bigint, url string, html string")
+    warc.write_archives(rows, path)
+    assert warc.read_archives(spark, path).count() == 0
+
+
+# 9 HTML extraction
+
+
+def test_main_text_of_a_page(spark):
+    page = (
+        '<!DOCTYPE html><title>T</title><script>var t="</p>";</script><nav><a href=x>Home</a></nav><!-- <p>no --><div class="ad">Buy this.</div>'
+        "<article><h1>A &amp; B</h1><p>One\n two&nbsp;three<br>four.<p><b>Bold<p>Short.</p><form>Name</form><div class='comments'><p>Nice text, I think.</p></div></article>"
+        "<aside><p>More to read here</p></aside><footer>&copy; us</footer>"
+    )
+    rows = spark.createDataFrame([(1, "u", page, "x"), (1, "u", page, "x"), (2, None, None, "x"), (3, "v", "", "x"), (4, "w", "<div", "x")], "page_id bigint, url string, html string, text string")
+    got = sorted(tuple(r) for r in html.extract(rows).select("page_id", "text", "n_chars").collect())
+    text = "A & B\nOne two three four.\nBold\nShort."
+    assert got[:2] == [(1, text, len(text))] * 2 and got[2:4] == [(2, "", 0), (3, "", 0)] and len(got) == 5
+    assert html.extract(rows.limit(0)).count() == 0
+
+
+def test_main_text_without_an_article():
+    long = "A sentence with quite a few words in it so that it is long enough to be a paragraph of the main text."
+    page = f"<body><div><a>Home</a></div><div><a>About us all</a></div><div><p>{long}</p><p>{long}</p></div><div id=footer>{long}</div>"
+    assert html.main_text([page], html.model()) == [f"{long}\n{long}"]
+
+
+def test_main_text_of_the_supplied_pages(spark, sf_dir):
+    for row in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        article = re.search("<article>(.*?)</article>", row["html"], re.S).group(1)
+        parts = [" ".join(entities.unescape(re.sub("<[^>]*>", " ", p)).split()) for p in re.split("</?(?:p|h1)>", article)]
+        assert html.main_text([row["html"]], html.model()) == ["\n".join(filter(None, parts))]
+
+
+# 10 BPE
+
+
+def test_bpe_equals_the_library(spark):
+    from tokenizers import Tokenizer
+
+    r = random.Random(4)
+    letters = "abcdeéñΣσςßıİ'’ \t\n\x0b\x1c\x85 　​0123٣½漢字😀<|>$%#é가ﬁK"
+    texts = [None, "", " ", "don't I'll", "a<|endoftext|>b <|startoftext", "<|ENDOFTEXT|>", "x" * 3000, "the" * 400]
+    texts += ["".join(r.choice(letters) for _ in range(r.randint(1, 30))) for _ in range(1500)]
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    library.no_truncation()
+    library.no_padding()
+    rows = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id bigint, text string, n_tokens string")
+    got = {r["doc_id"]: r for r in bpe.encode(rows, bpe.default_vocabulary(), full=True).collect()}
+    for i, text in enumerate(texts):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert got[i]["ids"] == ids and got[i]["decoded"] == decoded and got[i]["n_tokens"] == len(ids), text
+        assert got[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert got[i]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_bpe_forgets_and_goes_on(monkeypatch):
+    with open(bpe.default_vocabulary(), "rb") as file:
+        table = bpe.tables(file.read())
+    before = table.encode(["some words", "again words"])
+    monkeypatch.setattr(bpe, "REMEMBERED", 0)
+    assert table.encode(["some words", "again words"]) == before
+
+
+# all queries
+
+
+def test_every_query_runs_on_the_supplied_tables(spark, sf_dir):
+    sizes = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("documents", "pages")}
+    assert sorted(int(n[2:].split("_")[0]) for n in catalogue.QUERIES) == list(range(1, 11))
+    for name, query in catalogue.QUERIES.items():
+        rows = query(spark, sf_dir).count()
+        if not name.startswith("op7"):
+            assert rows == sizes["pages" if name[2:].split("_")[0] in ("4", "8", "9") else "documents"], name
