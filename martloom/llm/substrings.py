@@ -89,12 +89,16 @@ def duplicate_spans(
 
     schema = "doc bigint, start int, windows int, anchor bigint, one bigint, two bigint"
     blocks = scratch.keep(map_batches(rows, cut, schema), "blocks")
+    # What is joined to many rows of one key is written first: then Spark can split such a key over tasks.
     shared = blocks.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
-    blocks = scratch.keep(blocks.join(shared.select("anchor"), "anchor"), "shared-blocks")
-    scratch.drop("blocks")
-    contents = blocks.groupBy("anchor", "one", "two").agg(F.min("doc").alias("first"))
+    shared = scratch.keep(shared.select("anchor"), "shared-anchors")
+    blocks = scratch.keep(blocks.join(shared, "anchor"), "shared-blocks")
+    scratch.drop("blocks", "shared-anchors")
+    contents = scratch.keep(blocks.groupBy("anchor", "one", "two").agg(F.min("doc").alias("first")), "contents")
     parted = contents.groupBy("anchor").agg(F.count("*").alias("contents")).filter("contents > 1").select("anchor")
+    parted = scratch.keep(parted, "parted-anchors")
     told = scratch.keep(blocks.join(contents, ["anchor", "one", "two"]), "told-blocks")
+    scratch.drop("shared-blocks", "contents")
     whole = told.filter("first < doc").select("doc", "start", (F.col("windows") + (window - 1)).alias("length"))
     # where blocks differ, one text for each content shows its windows
     open_ = told.filter("first = doc").join(parted, "anchor").groupBy("doc").agg(F.collect_set(F.struct("start", "windows")).alias("open"))
@@ -124,6 +128,7 @@ def duplicate_spans(
         "windows",
     )
     firsts = windows.groupBy("one", "two").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    firsts = scratch.keep(firsts, "first-windows")
     single = windows.join(firsts, ["one", "two"]).filter("first < doc").select("doc", "start", F.lit(window).alias("length"))
     return whole.union(single).groupBy("doc").agg(F.collect_set(F.struct("start", "length")).alias("spans")).withColumnRenamed("doc", id_column)
 
