@@ -96,7 +96,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame, scratch: S
     fits, an allow anywhere in the component gives allow, else a block there gives block, else the
     verdict is allow; a null url has no component. Rows with the same url get the same verdict each.
     """
-    tied = components(edges, scratch, "aliases")
+    tied = scratch.keep(components(edges, scratch, "aliases"), "tied")
     urls = pages.select(F.col(url_column).alias("url")).union(tied.select("node")).na.drop().distinct()
     decided = scratch.keep(decide(urls, rules), "decided")
     whole = (
@@ -104,7 +104,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame, scratch: S
         .groupBy("component")
         .agg(F.min("decision").alias("told"))  # allow sorts before block
     )
-    told = tied.join(whole, "component").select(F.col("node").alias("url"), "told")
+    told = tied.join(scratch.keep(whole, "told"), "component").select(F.col("node").alias("url"), "told")
     known = decided.join(told, "url", "left").select(
         F.col("url").alias("known_url"), "rule", F.coalesce("decision", "told").alias("verdict")
     )
