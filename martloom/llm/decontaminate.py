@@ -1,11 +1,8 @@
-"""Benchmark items inside documents: MinHash containment search with documents partitioned by size.
-
-A short item inside a long document has a small Jaccard similarity, so a signature of one length for
-all finds nothing. Here documents fall into partitions by the size of their shingle set, and the
-signature of a partition has as many bins as its largest set has shingles: each bin holds the
-smallest hash that falls into it. About two thirds of a document's shingles are then in its signature
-whatever its length. Item and document are a candidate when their signatures share a value in the
-document's partition; candidates are verified by exact shingle containment.
+"""Benchmark items inside documents, by exact containment of their shingles.
+
+A short item inside a long document has a small Jaccard similarity, and a signature that holds a part
+of a document's shingles misses items of few shingles. So none decides here: the shingles of the items
+are looked up in every document, and the hits are counted for each pair.
 """
 
 from __future__ import annotations
@@ -24,40 +21,20 @@ FILTER_LIMIT = 1_000_000
 _TABLE_BITS = 20
 
 
-def size_partition(sizes: np.ndarray) -> np.ndarray:
-    """Partition p holds sets of 2^p to 2^(p+1) - 1 shingles."""
-    return np.frexp(sizes.astype(np.float64))[1] - 1
-
-
-def in_signature(text: np.ndarray, value: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Which of the sorted values are the smallest of their bin, with 2^bits bins for each row's text."""
-    bins = value >> (np.uint64(64) - bits.astype(np.uint64))
-    first = np.ones(len(value), bool)
-    first[1:] = (text[1:] != text[:-1]) | (bins[1:] != bins[:-1])
-    return first
-
-
 def item_shingles(items: DataFrame, size: int, id_column: str, text_column: str) -> DataFrame:
-    """Columns item, hash, n (distinct shingles of the item) and least: the first partition that signs the hash.
-
-    A hash that is the smallest of its bin stays so when bins are halved, so it is in the signatures
-    of every later partition.
-    """
+    """Columns item, hash and n (distinct shingles of the item)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = Batch(batch.column(1), lower=True)
         text, value = shingle_sets(words, size)
-        least = np.full(len(value), 64, np.int32)
-        for partition in range(62, -1, -1):
-            least[in_signature(text, value, np.full(len(value), partition + 1))] = partition
         counts = np.bincount(text, minlength=batch.num_rows)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(text)), pa.array(value.view(np.int64)), pa.array(counts[text], pa.int64()), pa.array(least)],
-            ["item", "hash", "n", "least"],
+            [batch.column(0).take(pa.array(text)), pa.array(value.view(np.int64)), pa.array(counts[text], pa.int64())],
+            ["item", "hash", "n"],
         )
 
     rows = items.select(F.col(id_column).alias("item"), F.col(text_column).cast("binary").alias("text"))
-    return map_batches(rows, run, f"item {rows.schema['item'].dataType.simpleString()}, hash bigint, n bigint, least int")
+    return map_batches(rows, run, f"item {rows.schema['item'].dataType.simpleString()}, hash bigint, n bigint")
 
 
 def find(
@@ -83,32 +60,21 @@ def find(
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = Batch(batch.column(1), lower=True)
         text, value = shingle_sets(words, size)
-        sizes = np.bincount(text, minlength=batch.num_rows)
-        partition = size_partition(sizes)[text]
-        signed = in_signature(text, value, partition + 1)
         if filter_ is not None:
             hits = np.flatnonzero(_table(filter_.value)[value >> np.uint64(64 - _TABLE_BITS)])
             if len(hits):
                 at = np.minimum(np.searchsorted(filter_.value, value[hits]), len(filter_.value) - 1)
                 hits = hits[filter_.value[at] == value[hits]]
-            text, value, partition, signed = text[hits], value[hits], partition[hits], signed[hits]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(text)), pa.array(value.view(np.int64)), pa.array(np.where(signed, partition, -1), pa.int32())],
-            ["doc", "hash", "partition"],
-        )
+            text, value = text[hits], value[hits]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text)), pa.array(value.view(np.int64))], ["doc", "hash"])
 
     rows = documents.select(F.col(id_column).alias("doc"), F.col(text_column).cast("binary").alias("text"))
-    found = map_batches(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, hash bigint, partition int")
-    # one join gives both: pairs that share a signature value, and the exact count of shared shingles
+    found = map_batches(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, hash bigint")
     return (
         found.join(shingles, "hash")
         .groupBy("doc", "item")
-        .agg(
-            F.max((F.col("partition") >= F.col("least")).cast("int")).alias("candidate"),
-            F.count_distinct("hash").alias("n_shared"),
-            F.max("n").alias("n_shingles"),
-        )
-        .filter((F.col("candidate") == 1) & (F.col("n_shared") >= contained * F.col("n_shingles")))
+        .agg(F.count_distinct("hash").alias("n_shared"), F.max("n").alias("n_shingles"))
+        .filter(F.col("n_shared") >= contained * F.col("n_shingles"))
         .select(
             F.col("doc").alias(id_column), F.col("item").alias(item_id), "n_shared", "n_shingles",
             (F.col("n_shared") / F.col("n_shingles")).alias("containment"),

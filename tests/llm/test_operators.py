@@ -370,6 +370,19 @@ def test_containment_equals_brute_force(spark, documents, corpus, items, monkeyp
     assert {(r["doc_id"], r["item_id"]): (r["n_shared"], r["n_shingles"]) for r in again.collect()} == got
 
 
+def test_items_of_few_words_in_long_texts(spark):
+    r = random.Random(9)
+    corpus = [(i, " ".join(r.choice(WORDS) for _ in range(600))) for i in range(20)]
+    words = {i: t.split() for i, t in corpus}
+    items = [(k, " ".join(words[k % 20][r.randrange(590) :][: 5 + k % 4])) for k in range(200)]
+    expected = brute_leaks(corpus, items, 5, 0.8)
+    found = decontaminate.find(
+        spark.createDataFrame(corpus, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    assert {(r["doc_id"], r["item_id"]): (r["n_shared"], r["n_shingles"]) for r in found.collect()} == expected
+    assert len(expected) >= 200
+
+
 def test_containment_of_empty_tables(spark, documents, empty):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.find(documents, none).count() == 0
