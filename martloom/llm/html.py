@@ -20,8 +20,10 @@ from martloom.llm import tree
 from martloom.llm.runtime import map_batches
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<(?=[a-zA-Z/])[^>]*>", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
+#: What stands in the attributes of every hidden element, and of others too.
+MAYBE_HIDDEN = re.compile(r"hidden|display", re.I)
+DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 
 #: Elements whose content is not shown as text.
 SKIPPED = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea", "select", "canvas", "audio", "video", "title"}
@@ -49,6 +51,23 @@ FEATURES = (
 )
 
 
+def attributes_of(raw: str) -> dict[str, str]:
+    """Values by lower-case name, "" for an attribute without one; of a name that comes twice the first."""
+    found: dict[str, str] = {}
+    for a in ATTRIBUTE.finditer(raw):
+        found.setdefault(a.group(1).lower(), a.group(2) or a.group(3) or a.group(4) or "")
+    return found
+
+
+def hidden(raw: str) -> bool:
+    """Whether attributes hide their element: hidden, aria-hidden=true or a style whose last display is none."""
+    if not MAYBE_HIDDEN.search(raw):
+        return False
+    found = attributes_of(raw)
+    shown = DISPLAY.findall(found.get("style", ""))
+    return "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or bool(shown) and shown[-1].lower() == "none"
+
+
 def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
     """Text, word count, link density, in an article, in boilerplate: for each block that has text."""
     if not page:
@@ -90,7 +109,7 @@ def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
         if not name:
             continue
         closing, attributes = bool(token.group(1)), token.group(3) or ""
-        if not closing and (name in SKIPPED or name not in VOID and HIDDEN.search(attributes)):
+        if not closing and (name in SKIPPED or name not in VOID and hidden(attributes)):
             if name not in SKIPPED:  # a hidden element ends where as many of its kind are closed as opened
                 depth, stop = 1, at
                 for other in re.finditer(rf"<(/?){re.escape(name)}(?=[\s/>])", page[at:], re.I):
@@ -122,8 +141,9 @@ def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
         elif name not in VOID and name != "p":
             words = set()
             if name not in ("body", "html"):
-                for a in ATTRIBUTE.finditer(attributes):
-                    words.update(re.split(r"[^a-z0-9]+", (a.group(2) or a.group(3) or a.group(4) or "").lower()))
+                named = attributes_of(attributes)
+                for a in ("class", "id", "role"):
+                    words.update(re.split(r"[^a-z0-9]+", named.get(a, "").lower()))
             comments = bool(words & COMMENT_WORDS)
             article = name in ARTICLE_TAGS and not comments
             open_.append((name, article, comments or not article and (name in BOILER_TAGS or bool(words & BOILER_WORDS)), comments))

@@ -453,6 +453,27 @@ def test_main_text_without_an_article():
     assert html.main_text([page], html.model()) == [f"{long}\n{long}"]
 
 
+@pytest.mark.parametrize(
+    "attribute",
+    [
+        'data-title="The hidden cost of X"', "title='a hidden gem'", 'class="flex hidden md:flex"', 'data-note="use display:none here"',
+        'title="so aria-hidden=true is set"', 'data-hidden="x"', 'aria-hidden="false"', 'style="display: none; display: block"',
+        """title='class="comments"'""", 'data-id="comments"',
+    ],
+)
+def test_main_text_keeps_what_only_mentions_hiding(attribute):
+    page = f"<nav><a>Home</a></nav><article {attribute}><h1 {attribute}>A title</h1><p>Said <a {attribute}>in a link</a> here.</p></article>"
+    assert html.main_text([page], html.model()) == ["A title\nSaid in a link here."]
+
+
+@pytest.mark.parametrize(
+    "attribute", ["hidden", 'HIDDEN=""', "hidden=until-found", 'aria-hidden="true"', "aria-hidden=true", "style='color:red; Display : none !important'"]
+)
+def test_main_text_leaves_out_what_is_hidden(attribute):
+    page = f'<article><h1>A title</h1><div title="x" {attribute}><p>Not seen.</p></div><p>Said <span {attribute}>not </span>here.</p></article>'
+    assert html.main_text([page], html.model()) == ["A title\nSaid here."]
+
+
 def test_main_text_of_the_supplied_pages(spark, sf_dir):
     for row in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
         article = re.search("<article>(.*?)</article>", row["html"], re.S).group(1)
