@@ -223,6 +223,26 @@ def test_equal_times_at_the_cut(spark):
     assert tied.count() == 4
 
 
+@pytest.mark.parametrize("kind", ["bigint", "timestamp", "string"])
+def test_batches_above_the_top_k_are_filters(spark, rows, monkeypatch, kind):
+    days = F.lit(datetime(2024, 10, 1).isoformat()).cast("timestamp_ntz") + F.make_dt_interval(F.floor(F.col("id") / 3).cast("int"))
+    cursor = days if kind == "timestamp" else F.lpad(F.floor(F.col("id") / 3).cast("string"), 5, "0")
+    source = spark.range(3000).select("id", cursor.cast(kind).alias("c"))
+    first = source.agg(F.min("c").cast("timestamp_ntz" if kind == "timestamp" else kind)).first()[0]
+    limits = [100, 1500, 2**31 + 1]
+    expected = {(k, t): rows(incremental.incremental_extract(source, "c", first, min(k, 10_000), t)) for k in limits for t in (False, True)}
+    monkeypatch.setattr(incremental, "TOP_K", 6)
+    monkeypatch.setattr(incremental, "RANGES", 4)
+    for k in limits:
+        for ties in (False, True):
+            batch = incremental.incremental_extract(source, "c", first, k, ties)
+            assert "TakeOrdered" not in batch._jdf.queryExecution().toString()
+            got = rows(batch)
+            assert sorted(c for _, c in got) == sorted(c for _, c in expected[k, ties]) and len(set(got)) == len(got)
+            if ties or k != 100:
+                assert got == expected[k, ties]
+
+
 def test_load_state(spark):
     state = incremental.empty_state(spark)
     assert incremental.get_setting(state, "flow") is None
