@@ -1,12 +1,11 @@
-"""Substring deduplication by relative Lempel-Ziv parsing.
+"""Substring deduplication by content-defined blocks and exact windows.
 
 Every text is cut into blocks that depend on its content alone: the smallest hash of a short run of
 words inside each window is the window's anchor, and the windows in a row that share an anchor are a
 block. All blocks are indexed, so equal stretches of two texts fall into equal blocks but for their
-ends. A text is parsed against the blocks of all texts with smaller ids: a block found whole there is
-part of a long factor, and where factors begin and end, in blocks that share an anchor but not the whole,
-the windows are checked one by one. Neighbouring matches join into factors, and each factor of at
-least a window's length is a duplicate span.
+ends. A block found whole in a text with a smaller id is duplicate; of blocks that share an anchor but
+not the whole, the hash of every window is compared. This stands in for a greedy relative Lempel-Ziv
+parse: no match is extended or joined to its neighbours, since the windows found are the same without.
 """
 
 from __future__ import annotations
