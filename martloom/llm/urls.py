@@ -7,12 +7,18 @@ the component goes before a block.
 
 from __future__ import annotations
 
+import html as entities
+import re
 from collections.abc import Sequence
+from urllib.parse import urljoin
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom.llm.components import components
-from martloom.llm.runtime import Scratch
+from martloom.llm.runtime import Scratch, map_batches
+
+WHOLE = re.compile(r"[a-z][a-z0-9+.-]*://", re.I)
 
 #: Query parameters that do not name another page.
 TRACKING = "(^|&)(utm_[^&=]*|ref|fbclid|gclid)=[^&]*"
@@ -57,13 +63,41 @@ def redirect_target(url: Column) -> Column:
     return F.when(after_scheme(url).isNotNull(), F.concat(page, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
+def canonical_href(html: Column) -> Column:
+    """Target of the page's canonical link as it is written; empty without one."""
+    tag = F.regexp_extract(html, r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
+    return F.regexp_extract(tag, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+
+
 def canonical_link(html: Column) -> Column:
     """Target of the page's canonical link if it is a whole url, else null."""
-    tag = F.regexp_extract(html, r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    target = F.regexp_extract(tag, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    target = canonical_href(html)
     return F.when(F.instr(target, "://") > 0, target)
 
 
+def resolve(url: str, href: str) -> str | None:
+    """The whole url that a link names on the page ``url``; None where there is none."""
+    href = entities.unescape(href).strip()
+    if WHOLE.match(href):
+        return href
+    try:
+        target = urljoin(url, href)
+    except ValueError:
+        return None
+    return target if WHOLE.match(target) else None
+
+
+def canonical_edges(pages: DataFrame) -> DataFrame:
+    """Columns a and b: url of a page and the whole url of its canonical link."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        targets = [resolve(u, h) for u, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(targets, pa.string())], ["a", "b"])
+
+    links = pages.select(F.col("url").alias("a"), canonical_href(F.col("html")).alias("href"))
+    return map_batches(links.filter("a is not null and href != ''"), run, "a string, b string").na.drop()
+
+
 def decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Columns url, host, path, rule and decision of distinct urls; the last two null where no rule fits.
 
@@ -118,8 +152,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     scratch = Scratch(spark)
     redirects = pages.select(F.col("url").alias("a"), redirect_target(F.col("url")).alias("b"))
-    links = pages.select(F.col("url").alias("a"), canonical_link(F.col("html")).alias("b"))
-    edges = scratch.keep(redirects.union(links).na.drop().distinct(), "edges")
+    links = scratch.keep(canonical_edges(pages), "links")
+    onward = links.select(F.col("b").alias("a"), redirect_target(F.col("b")).alias("b"))
+    edges = scratch.keep(redirects.union(links).union(onward).na.drop().distinct(), "edges")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return filter_urls(pages.select("page_id", "url"), rules, edges, scratch)
 

@@ -266,6 +266,18 @@ def test_links_and_redirects(spark):
     assert tuple(row) == ("https://a.org/x?p=2", "https://c.org/q")
 
 
+def test_canonical_links_of_any_form_carry_a_block(spark, tmp_path):
+    link = '<link rel="canonical" href="{}">'.format
+    pages = [
+        (1, "http://a.org/x", link("//b.net/es/1")), (2, "http://q.net/de/1", link("/es/1")), (3, "http://d.org/p", link("http://e.net/&#102;r/2")),
+        (4, "http://f.org/a", link("http://g.org/t/?utm_x=1")), (5, "https://g.org/t", link("http://h.net/es/1")), (6, "http://q.net/de/2", link("../fr/3")),
+        (7, "http://k.org/", link("http://[x")), (8, "http://l.org/es/", link("//[")), (9, "no url", link("/es/1")), (10, None, link("//b.net/es/1")),
+    ]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["verdict"] for r in urls.op4_url_filter(spark, str(tmp_path)).collect()}
+    assert got == {i: "block" if i < 7 else "allow" for i in range(1, 11)}
+
+
 # 5 toxicity, 6 quality classifier
 
 
