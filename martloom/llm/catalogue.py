@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martloom.llm import bpe, conversations, decontaminate, html, jaccard, quality, rules, substrings, toxicity, urls, warc, whitening
+from martloom.llm import bpe, conversations, decontaminate, html, jaccard, language_model, quality, rules, substrings, toxicity, urls, warc, whitening
 
 QUERIES = {
     "op1_substring_dedup": substrings.op1_substring_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_main_text": html.op9_main_text,
     "op10_bpe": bpe.op10_bpe,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_lm_scoring": language_model.op12_lm_scoring,
     "op13_conversation_repair": conversations.op13_conversation_repair,
 }
 
