@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martloom.llm.runtime import Scratch, ship
+from martloom.llm.runtime import Scratch, map_batches, ship
 
 #: Rows of one search; the number is a power of two.
 RUN = 64
@@ -41,7 +41,7 @@ RETURNS = {START: 0, AFTER_SYSTEM: 2, AFTER_USER: 1, AFTER_ASSISTANT: 0}  # inse
 CHANGE, DELETE, INSERT = 2, 3, 2
 
 Symbol = int  # 4 * role + fault
-Table = tuple[tuple[tuple[int, str] | None, ...], ...]
+Answers = tuple[tuple[int, str] | None, ...]
 
 
 def least_costs(symbols: tuple[Symbol, ...]) -> tuple[list[int], list[int]]:
@@ -111,9 +111,9 @@ def _descend(
 
 
 @functools.lru_cache(maxsize=20_000)
-def table(symbols: tuple[Symbol, ...]) -> Table:
-    """The answers of :func:`search` for each state before and after the rows."""
-    return tuple(tuple(search(symbols, e, g) for g in STATES) for e in STATES)
+def answers(symbols: tuple[Symbol, ...], entry: int) -> Answers:
+    """The answers of :func:`search` from a state to each; nothing leads back to an earlier one of the first two."""
+    return tuple(search(symbols, entry, g) if g >= min(entry, AFTER_USER) else None for g in STATES)
 
 
 def _rows(conversations: DataFrame) -> DataFrame:
@@ -138,7 +138,8 @@ def _symbol(role: Column, fault: Column) -> Column:
 
 
 def _runs(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """Columns conv_id, run, rows (numbers) and symbols: runs of at most RUN rows of one conversation, in order.
+    """Runs of at most RUN rows of one conversation: conv_id, run, rows (numbers), symbols, and the costs and audits
+    from each state (of a first run only from the start) to each.
 
     A row is a duplicate if an earlier one has its role and text: the least (turn, row) of each digest is aggregated
     map-side. The order is by range, so that the rows of a very long conversation, and of one turn in it, spread.
@@ -159,8 +160,29 @@ def _runs(rows: DataFrame, scratch: Scratch) -> DataFrame:
     ordered = told.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered = scratch.keep(ordered.select("conv_id", F.monotonically_increasing_id().alias("id"), "row", "symbol"), "ordered")
     run = F.shiftright("id", RUN.bit_length() - 1).alias("run")
-    runs = ordered.groupBy("conv_id", run).agg(F.sort_array(F.collect_list(F.struct("id", "row", "symbol"))).alias("r"))
-    return runs.select("conv_id", "run", F.col("r.row").alias("rows"), F.col("r.symbol").alias("symbols"))
+    # searching costs far more than the few bytes of a run tell, so Spark shall not gather the runs in few tasks
+    spread = ordered.select("conv_id", run, "id", "row", "symbol").repartition(_tasks(rows), "conv_id", "run")
+    runs = spread.groupBy("conv_id", "run").agg(F.sort_array(F.collect_list(F.struct("id", "row", "symbol"))).alias("r"))
+    # all runs of a conversation but the first begin where the numbers of runs change
+    inner = F.col("r.id")[0] % RUN == 0
+    runs = runs.select("conv_id", "run", F.col("r.row").alias("rows"), F.col("r.symbol").alias("symbols"), inner.alias("inner"))
+
+    def run_search(batch: pa.RecordBatch) -> pa.RecordBatch:
+        costs, audits = [], []
+        for symbols, maybe_inner in zip(batch.column("symbols").to_pylist(), batch.column("inner").to_pylist()):
+            found = [a for e in (STATES if maybe_inner else [START]) for a in answers(tuple(symbols), e)]
+            costs.append([a and a[0] for a in found])
+            audits.append([a and a[1] for a in found])
+        columns = [*batch.columns[:4], pa.array(costs, pa.list_(pa.int64())), pa.array(audits, pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays(columns, ["conv_id", "run", "rows", "symbols", "costs", "audits"])
+
+    kind = runs.schema["conv_id"].dataType.simpleString()
+    found = f"conv_id {kind}, run bigint, rows array<bigint>, symbols array<int>, costs array<bigint>, audits array<string>"
+    return scratch.keep(map_batches(runs, run_search, found), "runs")
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 class _Conversation:
@@ -174,20 +196,19 @@ class _Conversation:
         self.ways: dict[int, tuple[int, list[tuple]]] = {START: (0, [])}
         self.audit: list[str] = []
 
-    def add(self, run: int, rows: list[int], symbols: list[int]) -> Iterator[tuple]:
+    def add(self, run: int, rows: list[int], symbols: list[int], costs: list[int | None], audits: list[str | None]) -> Iterator[tuple]:
         for symbol in symbols:
             self.counts[symbol % 4] += 1
             if self.last is not None:
                 self.illegal += (self.last, symbol // 4) not in ((SYSTEM, USER), (USER, ASSISTANT), (ASSISTANT, USER))
             self.last = symbol // 4
-        answers = table(tuple(symbols))
         ways = {}
         for goal in STATES:
             ends = []
             for entry, (cost, parts) in self.ways.items():
-                if answers[entry][goal]:
-                    more, audit = answers[entry][goal]
-                    ends.append((cost + more, parts, (run, entry, audit, rows, symbols)))
+                at = 4 * entry + goal
+                if costs[at] is not None:
+                    ends.append((cost + costs[at], parts, (run, entry, audits[at], rows, symbols)))
             if ends:
                 cost, parts, part = _best(ends)
                 ways[goal] = (cost, [*parts, part])
@@ -238,7 +259,7 @@ _SOLVED = (
 def _solve(runs: DataFrame) -> DataFrame:
     """Rows of edits, and one with the counts, cost and audit for each conversation. Runs pass one after another."""
     kind = runs.schema["conv_id"].dataType
-    passing = runs.repartition("conv_id").sortWithinPartitions("conv_id", "run")
+    passing = runs.repartition(_tasks(runs), "conv_id").sortWithinPartitions("conv_id", "run")
     ship(runs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,12 +269,12 @@ def _solve(runs: DataFrame) -> DataFrame:
         for batch in batches:
             names = [*batch.schema.names[:1], *[part.split()[0] for part in _SOLVED.split(", ")]]
             types = [batch.schema.field(0).type, pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 5, pa.string()]
-            for conv_id, number, rows, symbols in zip(*[c.to_pylist() for c in batch.columns]):
+            for conv_id, *one_run in zip(*[c.to_pylist() for c in batch.columns]):
                 if now is None or now.conv_id != conv_id:
                     if now:
                         out.extend(now.end())
                     now = _Conversation(conv_id)
-                out.extend(now.add(number, rows, symbols))
+                out.extend(now.add(*one_run))
                 if len(out) > 10_000:
                     yield _batch(out, names, types)
                     out = []
@@ -280,7 +301,7 @@ def repair(conversations: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     """
     rows = scratch.keep(_rows(conversations).withColumn("row", F.monotonically_increasing_id()), "rows")
     solved = scratch.keep(_solve(_runs(rows, scratch)), "solved")
-    scratch.drop("again", "ordered")
+    scratch.drop("again", "ordered", "runs")
     edits = solved.filter("edit != 'D'").select("conv_id", "run", "place", F.col("row").alias("r"), "edit", "new_role")
     repaired = edits.join(rows.select("row", "role", "text"), F.col("r") == F.col("row"), "left").select(
         "conv_id", "run", "place", F.coalesce("new_role", "role").alias("role"), F.coalesce("text", F.lit("")).alias("text"), "edit"

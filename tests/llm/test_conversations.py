@@ -126,7 +126,7 @@ def test_search_is_exact_for_all_states():
 def test_search_of_long_runs_ends():
     r = random.Random(6)
     for symbols in [(4,) * 64, (0,) * 64, (12,) * 64, (4, 4, 8, 8) * 16, tuple(r.choice([0, 1, 4, 5, 8, 9, 12, 7]) for _ in range(64))]:
-        assert conversations.table(symbols)[0][0][0] <= 3 * 64
+        assert conversations.answers(symbols, 0)[0][0] <= 3 * 64
 
 
 def test_random_conversations(spark, tmp_path):
