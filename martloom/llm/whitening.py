@@ -8,6 +8,7 @@ the driver for the eigenvectors; the product with the matrix of these projects a
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -107,7 +108,8 @@ def whiten(
     rows = numbered.select("index", array_to_vector(centred).alias("vector"))
     rows_per_block = min(max(ROWS[0], -(-n // BLOCKS)), ROWS[1])
     matrix = IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(rows, "vector"), n, d).toBlockMatrix(rows_per_block, min(d, ROWS[0]))
-
+    # read three times; blocks that are lost with an executor are made again
+    matrix.persist(StorageLevel.MEMORY_AND_DISK)
     covariance = _scatter(matrix, -(-n // rows_per_block)) / n
     values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
     k = min(components, d)
@@ -118,6 +120,7 @@ def whiten(
     projected = matrix.multiply(_small(spark, scaled, matrix.colsPerBlock)).toIndexedRowMatrix()
     found = callMLlibFunc("getIndexedRows", projected._java_matrix_wrapper._java_model)
     found = scratch.keep(found.select(F.col("index").alias("at"), vector_to_array("vector").alias("w")), "projected")
+    matrix._java_matrix_wrapper.call("blocks").unpersist(False)
 
     told = [i for i in range(k) if real[i]]
     explained = F.array(*[F.lit(float(v) / trace if trace > 0 else None).cast("double") for v in values])
