@@ -11,7 +11,7 @@ from martloom.functions.dates import as_day, clock, iso_week, iso_week_period
 from martloom.functions.numbers import count_when, signed, sum_when
 from martloom.operators.clean import conform, default_column, drop_present, keep_first
 from martloom.operators.joins import with_calendar
-from martloom.operators.merge import insert_new, inserted, touched_partitions, upsert_on_key, upsert_partitions
+from martloom.operators.merge import in_partitions, insert_new, inserted, upsert_on_key
 from martloom.schemas import (
     F_CUSTOMER_RETENTION,
     F_SALES,
@@ -25,6 +25,7 @@ from martloom.schemas import (
 )
 from martloom.session import materialize
 from martloom.sources import tables
+from martloom.sources.bucketed import KeyIndex
 from martloom.sources.files import read_csv
 from martloom.sources.releases import Releases
 
@@ -164,6 +165,12 @@ def replace_retention_week(retention: DataFrame, path: str, period_id: int) -> N
     tables.replace_period(of_week, path, {"period_name": WEEKLY, "period_id": period_id})
 
 
+def sales_index(spark: SparkSession, root: str, buckets: int = 16) -> KeyIndex:
+    """The partitions of ``f_sales`` by ``uniq_id``."""
+    store = Releases(spark, f"{root.rstrip('/')}/f_sales_index")
+    return KeyIndex(store, "partitions", {"uniq_id": F_SALES["uniq_id"]}, ("date_id", F_SALES["date_id"]), buckets)
+
+
 def run_sales_day(
     spark: SparkSession,
     increment_csv: str,
@@ -176,7 +183,7 @@ def run_sales_day(
 
     Staging and retention replace their own day and week, new dimension rows are added in one release, and
     of ``f_sales``, partitioned by ``date_id``, only the partitions that the increment touches are
-    rewritten. A rerun of a day gives the same tables.
+    read and rewritten; an index tells in which ones the lines of its keys are. A rerun of a day gives the same tables.
     """
     root = root.rstrip("/")
     staging, facts, retention = f"{root}/user_order_log", f"{root}/f_sales", f"{root}/f_customer_retention"
@@ -199,9 +206,13 @@ def run_sales_day(
     batch = materialize(conform(sales, F_SALES), "f_sales_batch")
     empty_table(spark, F_SALES).write.mode("ignore").partitionBy("date_id").parquet(facts)
     current = spark.read.schema(ddl(F_SALES)).parquet(facts)
-    touched = touched_partitions(current, batch, ["uniq_id"], "date_id")
-    changed = upsert_partitions(current, batch, ["uniq_id"], "date_id", keep=["created_at"])
+    index = sales_index(spark, root)
+    index.recover(current)
+    touched = materialize(index.touched(batch), "touched")
+    index.begin(touched)
+    changed = upsert_on_key(in_partitions(current, touched, "date_id"), batch, ["uniq_id"], keep=["created_at"])
     tables.replace_touched(changed, facts, "date_id", touched, F_SALES_RULES)
+    index.finish(batch)
 
     weekly = customer_retention(spark.read.schema(ddl(F_SALES)).parquet(facts), calendar, business_date)
     iso = business_date.isocalendar()

@@ -60,7 +60,7 @@ def stage_documents(
         F.col(cursor).alias("update_ts"),
     )
     store.publish({STATE: save_setting(state, table, {LAST_TS: last})}, added={table: documents})
-    if len(store.current()[1][table]) > COMPACT_AFTER:
+    if store.additions(table) > COMPACT_AFTER:
         compact_documents(store, table)
     return batch.count()
 
