@@ -38,6 +38,7 @@ from martloom.schemas import (
 )
 from martloom.session import materialize, scratch_path
 from martloom.sources import files, tables
+from martloom.sources.bucketed import LAST_IDS, BucketedTable, last_id, with_last_ids
 from martloom.sources.releases import Releases
 from martloom.streaming.upserts import read_file_stream, upsert_stream
 
@@ -362,6 +363,45 @@ def merge_product(spark, sf_dir):
     return load_twice(spark, sf_dir, warehouse.merge_products, D_PRODUCT, **one_type()).drop("product_id")
 
 
+@query
+def merge_product_buckets(spark, sf_dir):
+    """Products in hash buckets after two merges; the second brings a few of one brand with a new type and rewrites
+    only their buckets."""
+    rows = market(spark, sf_dir)
+    store = Releases(spark, scratch_path(spark, "product-buckets"))
+    table = BucketedTable(store, "d_product", D_PRODUCT, warehouse.PRODUCT_KEY, buckets=32)
+    few = rows.filter("product_description = 'Brand#11' and product_price < 1000")
+    for batch, run_ts in ((rows, RUN_1), (few.withColumn("product_type", F.concat(F.lit("new "), "product_type")), RUN_2)):
+        last = last_id(store, "d_product", "product_id")
+        content, touched = table.changed(
+            batch, lambda stored, batch=batch, run_ts=run_ts, last=last: warehouse.merge_products(stored, batch, run_ts, numbered=last, **one_type())
+        )
+        content = materialize(content, "products")
+        ids = with_last_ids(store, {"d_product": (content, "product_id")})
+        store.publish({"d_product": content, LAST_IDS: ids}, touched={"d_product": touched})
+    found = table.rows()
+    return found.drop("product_id").withColumn("n_ids", F.lit(found.select("product_id").distinct().count()).cast("bigint"))
+
+
+@query
+def written_order(spark, sf_dir):
+    """Dimensions written in key order: rows, rows out of order in their file, and files that overlap."""
+    out = []
+    for name, rows, order in (
+        ("d_calendar", calendar(spark, sf_dir), ["date_id"]),
+        ("d_item", daily.d_item(b.user_order_log(spark, sf_dir, cities=False)), ["item_id", "item_name"]),
+        ("orders", b.table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"]),
+    ):
+        path = scratch_path(spark, f"ordered-{name}")
+        tables.rebuild(rows, path, order_by=order)
+        files_ = tables.order_violations(spark, path, order)
+        out.append(files_.agg(
+            F.lit(name).alias("table_name"), F.sum("n_rows").alias("n_rows"),
+            F.sum("n_unsorted").alias("n_unsorted"), F.sum("n_overlaps").alias("n_overlaps"),
+        ))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query
 def merge_customer(spark, sf_dir):
     return load_twice(spark, sf_dir, warehouse.merge_customers, D_CUSTOMER).drop("customer_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,8 +20,8 @@ LAST_ID = {"name": "string", "last": "bigint"}
 class BucketedTable:
     """A keyed table in a store.
 
-    The number of buckets belongs to the table's layout and must not change; a bucket should hold some hundred MB. A row without a key matches nothing, so such
-    rows are spread by all their columns.
+    The number of buckets belongs to the table's layout and must not change; a bucket should hold some hundred MB. The
+    bucket follows from the key alone, nulls included.
     """
 
     def __init__(self, store: Releases, name: str, columns: dict[str, str], keys: Sequence[str], buckets: int = 64):
@@ -30,9 +30,7 @@ class BucketedTable:
     def place(self, df: DataFrame) -> DataFrame:
         """``df`` in the table's types, with the bucket of each row."""
         df = conform(df, {c: t for c, t in self.columns.items() if c in df.columns})
-        known = reduce(Column.__and__, [F.col(k).isNotNull() for k in self.keys])
-        number = F.when(known, F.xxhash64(*self.keys)).otherwise(F.xxhash64(*df.columns))
-        return df.withColumn(BUCKET, F.pmod(number, F.lit(self.buckets)).cast("int"))
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
     def touched(self, placed: DataFrame) -> list[int]:
         """The buckets of some rows; at most as many numbers as there are buckets reach the driver."""
@@ -41,15 +39,19 @@ class BucketedTable:
     def rows(self, buckets: Sequence[int] | None = None) -> DataFrame:
         return self.store.read(self.name, empty_table(self.store.spark, self.columns), buckets).select(*self.columns)
 
+    def changed(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list[int]]:
+        """What ``merge`` makes of the buckets that the keys of ``batch`` name, for :meth:`Releases.publish`, and their numbers."""
+        touched = self.touched(self.place(batch.select(*self.keys)))
+        return self.place(merge(self.rows(touched))), touched
+
     def merge(self, batch: DataFrame, update_cols: Sequence[str], **options) -> tuple[DataFrame, list[int]]:
-        """New content of the buckets that a MERGE of ``batch`` touches, for :meth:`Releases.publish`, and their numbers.
+        """New content of the buckets that a MERGE of ``batch`` touches, and their numbers.
 
         With an ``id_column`` new rows are numbered above the last id of the store, see :func:`last_id`.
         """
-        touched = self.touched(self.place(batch.select(*[c for c in self.columns if c in batch.columns])))
         if options.get("id_column"):
             options["numbered"] = last_id(self.store, self.name, options["id_column"])
-        return self.place(merge_upsert(self.rows(touched), batch, self.keys, update_cols, **options)), touched
+        return self.changed(batch, lambda rows: merge_upsert(rows, batch, self.keys, update_cols, **options))
 
 
 def last_id(store: Releases, name: str, id_column: str = "id") -> DataFrame:
@@ -58,11 +60,11 @@ def last_id(store: Releases, name: str, id_column: str = "id") -> DataFrame:
     return stored.filter(F.col("name") == name).select(F.col("last").alias(id_column))
 
 
-def with_last_ids(store: Releases, given: dict[str, DataFrame], id_column: str = "id") -> DataFrame:
-    """The table of last ids after rows were written; publish it no later than the rows."""
+def with_last_ids(store: Releases, given: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """The table of last ids after rows (and their id column) were written; publish it together with the rows."""
     stored = store.read(LAST_IDS, empty_table(store.spark, LAST_ID))
     rows = stored.select("name", "last")
-    for name, df in given.items():
+    for name, (df, id_column) in given.items():
         rows = rows.unionByName(df.agg(F.lit(name).alias("name"), F.max(id_column).cast("bigint").alias("last")))
     return rows.filter("last is not null").groupBy("name").agg(F.max("last").alias("last"))
 

@@ -20,28 +20,44 @@ def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFra
     raw = _checked_header(spark, path)
     return raw.select(*[F.col(c).cast(columns.get(c, "string")).alias(c) for c in raw.columns])
 
+#: Fixed value: text of a whole number.
+WHOLE = r"^[+-]?[0-9]+$"
+
 
 def read_csv_inferred(spark: SparkSession, path: str, date_cols: Sequence[str] = ()) -> DataFrame:
     """CSV whose types come from its values.
 
     Whole numbers become INT (BIGINT where they need it), or DOUBLE when the column has gaps, as a
     data frame library without nullable integers would load them; fractions DOUBLE; true/false
-    BOOLEAN; ``date_cols`` TIMESTAMP; everything else, other date-like text included, STRING.
+    BOOLEAN; ``date_cols`` TIMESTAMP; everything else, other date-like text and numbers beyond BIGINT included, STRING.
+    One aggregate over counts per column, which combine map-side, decides all types.
     """
-    raw = spark.read.option("header", True).option("inferSchema", True).csv(path)
-    whole = [f.name for f in raw.schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
-    gaps = raw.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in whole]).first() if whole else {}
-
-    def final_type(field: T.StructField) -> T.DataType:
-        if field.name in date_cols:
+    raw = _checked_header(spark, path)
+    flags = {
+        "gap": lambda c: c.isNull(),
+        "whole": lambda c: c.rlike(WHOLE),
+        "int": lambda c: c.rlike(WHOLE) & c.try_cast("int").isNotNull(),
+        "long": lambda c: c.rlike(WHOLE) & c.try_cast("bigint").isNotNull(),
+        "double": lambda c: ~c.rlike(r"\s") & c.try_cast("double").isNotNull(),
+        "boolean": lambda c: F.lower(c).isin("true", "false"),
+    }
+    counts = [F.count_if(test(F.col(f"`{c}`"))).alias(f"{i}_{kind}") for i, c in enumerate(raw.columns) for kind, test in flags.items()]
+    found = raw.agg(F.count("*").alias("rows"), *counts).first()
+
+    def final_type(i: int, name: str) -> T.DataType:
+        count = {kind: found[f"{i}_{kind}"] for kind in flags}
+        values = found["rows"] - count["gap"]
+        if name in date_cols:
             return T.TimestampNTZType()
-        if field.name in whole:
-            return T.DoubleType() if gaps[field.name] else field.dataType
-        if isinstance(field.dataType, (T.DoubleType, T.BooleanType)):
-            return field.dataType
-        return T.StringType()
-
-    schema = T.StructType([T.StructField(f.name, final_type(f)) for f in raw.schema.fields])
+        if not values:
+            return T.StringType()
+        if count["long"] == values:
+            return T.DoubleType() if count["gap"] else T.IntegerType() if count["int"] == values else T.LongType()
+        if count["double"] == values and count["whole"] < values:
+            return T.DoubleType()
+        return T.BooleanType() if count["boolean"] == values else T.StringType()
+
+    schema = T.StructType([T.StructField(c, final_type(i, c)) for i, c in enumerate(raw.columns)])
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from martloom.operators.clean import conform
 from martloom.operators.quality import Constraints, enforce
@@ -33,6 +33,29 @@ def rebuild(
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def order_violations(spark: SparkSession, path: str, order_by: Sequence[str]) -> DataFrame:
+    """One row per file of a table that :func:`rebuild` wrote in order: file, n_rows, n_unsorted and n_overlaps.
+
+    n_unsorted counts rows that are less than the row before them in the file, n_overlaps is 1 if the file begins below
+    the end of the one before it. A file is a partition of the window, and of each one its
+    ends reach the driver, which lists the files anyhow. Nulls come first.
+    """
+    rows = spark.read.parquet(path).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"), F.struct(*order_by).alias("key")
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    files = rows.withColumn("before", before).groupBy("file").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("before") > F.col("key")).alias("n_unsorted"),
+        F.min("key").alias("first"), F.max("key").alias("last"),
+    )
+    files = materialize(files, "file-ends")
+    names = sorted(r["file"] for r in files.select("file").collect())
+    following = spark.createDataFrame(list(zip(names, names[1:])), "earlier string, file string")
+    ends = files.select(F.col("file").alias("earlier"), F.col("last").alias("end"))
+    joined = files.join(following, "file", "left").join(ends, "earlier", "left")
+    return joined.select("file", "n_rows", "n_unsorted", F.coalesce((F.col("end") > F.col("first")).cast("bigint"), F.lit(0)).alias("n_overlaps"))
+
+
 def rebuild_typed(df: DataFrame, path: str, columns: dict[str, str], rules: Constraints) -> DataFrame:
     """Drop, create with declared types and constraints, reload. Nothing is written on a violation."""
     checked = enforce(materialize(conform(df, columns), "typed"), rules)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martloom.operators import merge
 from martloom.plans import sales
 from martloom.schemas import F_SALES, USER_ORDER_INCREMENT, ddl
+from martloom.session import materialize
 from martloom.sources import bucketed, files, releases, tables
 from martloom.sources.releases import Entry, Releases
 
@@ -66,19 +67,20 @@ def test_merge_rewrites_only_touched_buckets(spark, rows, tmp_path):
     def load(batch):
         content, touched = table.merge(batch, ["city"], id_column="id", insert_cols=["name", "town", "city"])
         before = store.current()[1].get("people", [])
-        store.publish({"people": content}, touched={"people": touched})
-        store.publish({bucketed.LAST_IDS: bucketed.with_last_ids(store, {"people": table.rows(touched)})})
+        content = materialize(content, "people")
+        ids = bucketed.with_last_ids(store, {"people": (content, "id")})
+        store.publish({"people": content, bucketed.LAST_IDS: ids}, touched={"people": touched})
         return touched, set(before) - set(store.current()[1]["people"])
 
     first = [(f"n{i}", f"t{i % 7}", "old") for i in range(300)] + [(None, "t", "old")] * 3
     touched, _ = load(people(spark, *first))
     assert len(touched) == 16
-    touched, replaced = load(people(spark, ("n5", "t5", "new"), ("x", "y", "new")))
-    assert len(touched) <= 2 and len(replaced) == len(touched)
+    touched, replaced = load(people(spark, ("n5", "t5", "new"), ("x", "y", "new"), (None, "t", "new")))
+    assert len(touched) <= 3 and len(replaced) == len(touched)
     expected = {r[:2]: r[2] for r in first if r[0]} | {("n5", "t5"): "new", ("x", "y"): "new"}
     found = table.rows().collect()
     assert {(r["name"], r["town"]): r["city"] for r in found if r["name"]} == expected
-    assert len(found) == len(expected) + 3 and len({r["id"] for r in found}) == len(found)
+    assert len(found) == len(expected) + 4 and len({r["id"] for r in found}) == len(found)
     newest = next(r["id"] for r in found if r["name"] == "x")
     assert newest == max(r["id"] for r in found)
     plan_files = table.rows(touched).inputFiles()
@@ -178,3 +180,20 @@ def test_sales_day_opens_only_touched_partitions(spark, tmp_path):
     facts = spark.read.schema(ddl(F_SALES)).parquet(f"{root}/f_sales")
     assert facts.count() == 13 and facts.filter("uniq_id = '2-1'").select("date_id").first()[0] == 20240104
     assert facts.filter(F.col("status") == "refunded").count() == 1
+
+
+def test_order_is_told_from_what_was_written(spark, tmp_path):
+    df = spark.range(1000).selectExpr("(id * 7919) % 1000 AS k", "id % 3 AS v").withColumn("k", F.when(F.col("k") > 5, F.col("k")))
+    tables.rebuild(df, str(tmp_path / "a"), order_by=["k", "v"])
+    found = tables.order_violations(spark, str(tmp_path / "a"), ["k", "v"]).collect()
+    assert sum(r["n_rows"] for r in found) == 1000 and not any(r["n_unsorted"] or r["n_overlaps"] for r in found)
+    df.repartition(3).write.parquet(str(tmp_path / "b"))
+    found = tables.order_violations(spark, str(tmp_path / "b"), ["k", "v"]).collect()
+    assert len(found) == 3 and all(r["n_unsorted"] > 100 for r in found) and sum(r["n_overlaps"] for r in found) == 2
+
+
+def test_types_of_one_pass(spark, tmp_path):
+    lines = ["a,b,c,d,e,f,g,h,i", "1,1,1.5,true,x,3000000000,99999999999999999999,,1", "-2,,1e3,False,7,1,1,, 2", "+3,4,7,TRUE,,2,2,,3"]
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    kinds = [t for _, t in files.read_csv_inferred(spark, str(tmp_path / "t.csv")).dtypes]
+    assert kinds == ["int", "double", "double", "boolean", "string", "bigint", "string", "string", "string"]
