@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-_KEEP = 1_000_000
+_KEEP = 250_000
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
