@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martloom.llm import tree
 from martloom.llm.runtime import map_batches
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<(?=[a-zA-Z/])[^>]*>", re.S)
+MARK = re.compile(r"<(?=[!?/a-zA-Z])")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+NAMED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(?=[\s/>])")
+QUOTE_OR_END = re.compile(r"[\"'>]")
 ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 #: What stands in the attributes of every hidden element, and of others too.
 MAYBE_HIDDEN = re.compile(r"hidden|display", re.I)
@@ -68,12 +71,108 @@ def hidden(raw: str) -> bool:
     return "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or bool(shown) and shown[-1].lower() == "none"
 
 
+class Scanner:
+    """Tags of a page, in time in proportion to its length whatever is left open in it."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.lost: set[int] = set()  # quotes after which no tag ends
+        self.ends: dict[int, int] | None = None
+        self.never: set[str] = set()
+
+    def tag_end(self, at: int) -> int:
+        """The ``>`` that ends a tag, quoted ones apart; -1 if a quote stays open."""
+        met = []
+        while (found := QUOTE_OR_END.search(self.page, at)) is not None:
+            i = found.start()
+            if found.group() == ">":
+                return i
+            if i in self.lost:
+                break
+            met.append(i)
+            j = self.page.find(found.group(), i + 1)
+            if j < 0:
+                break
+            at = j + 1
+        self.lost.update(met)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start, end, whether it closes, lower-case name and attributes of the next tag; other markup has no name."""
+        found = MARK.search(self.page, at)
+        if found is None:
+            return None
+        start = found.start()
+        if start > self.last:  # only a comment may stay open
+            start = self.page.find("<!--", start)
+            if start < 0:
+                return None
+        if self.page.startswith("<!--", start):
+            stop = self.page.find("-->", start + 4)
+            return start, len(self.page) if stop < 0 else stop + 3, False, "", ""
+        named = NAME.match(self.page, start)
+        if named:
+            stop = self.tag_end(named.end())
+            if stop >= 0:
+                return start, stop + 1, bool(named.group(1)), named.group(2).lower(), self.page[named.end() : stop]
+        return start, self.page.find(">", start) + 1, False, "", ""
+
+    def element_end(self, start: int) -> int | None:
+        """Where the element that opens at ``start`` is closed: by as many of its kind as were opened."""
+        if self.ends is None:
+            self.ends, opened = {}, {}
+            for tag in NAMED.finditer(self.page):
+                stack = opened.setdefault(tag.group(2).lower(), [])
+                if not tag.group(1):
+                    stack.append(tag.start())
+                elif stack:
+                    self.ends[stack.pop()] = tag.start()
+        return self.ends.get(start)
+
+    def closed(self, name: str, at: int) -> int | None:
+        """The next closing tag of a name."""
+        if name in self.never:
+            return None
+        found = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(self.page, at)
+        if found is None:
+            self.never.add(name)
+        return found and found.start()
+
+
+class Open:
+    """The open blocks, with what holds inside all of them."""
+
+    def __init__(self) -> None:
+        # name; in comments; in an article and in boilerplate if no block is of comments; in boilerplate at all
+        self.stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+        self.names: dict[str, int] = {}
+
+    def push(self, name: str, article: bool, boiler: bool, comments: bool) -> None:
+        _, commented, inside, inner, outer = self.stack[-1]
+        inner = boiler or inner and not article
+        self.stack.append((name, commented or comments, inside or article, inner, outer or boiler))
+        self.names[name] = self.names.get(name, 0) + 1
+
+    def close(self, name: str) -> None:
+        while self.names.get(name):
+            closed = self.stack.pop()[0]
+            self.names[closed] -= 1
+            if closed == name:
+                break
+
+    def here(self) -> tuple[bool, bool]:
+        """Whether in an article, and in boilerplate."""
+        _, commented, inside, inner, outer = self.stack[-1]
+        return (False, outer) if commented else (inside, inner)
+
+
 def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
     """Text, word count, link density, in an article, in boilerplate: for each block that has text."""
     if not page:
         return []
     found: list[tuple[str, int, float, bool, bool]] = []
-    open_: list[tuple[str, bool, bool, bool]] = []  # tag, article, boilerplate, comments
+    open_, tags = Open(), Scanner(page)
     text: list[str] = []
     links = [0]
     in_link = False
@@ -82,12 +181,7 @@ def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
         words = "".join(text).split()
         text.clear()
         if words:
-            inside, boiler = False, False
-            for _, article, other, comments in open_:
-                if article and not any(c[3] for c in open_):
-                    inside, boiler = True, False
-                boiler |= other
-            found.append((" ".join(words), len(words), min(1.0, links[0] / len(words)), inside, boiler))
+            found.append((" ".join(words), len(words), min(1.0, links[0] / len(words)), *open_.here()))
         links[0] = 0
 
     def say(piece: str) -> None:
@@ -98,30 +192,22 @@ def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
 
     at, end = 0, len(page)
     while at < end:
-        token = TOKEN.search(page, at)
+        token = tags.next(at)
         if token is None:
             say(page[at:])
             break
-        if token.start() > at:
-            say(page[at : token.start()])
-        at = token.end()
-        name = (token.group(2) or "").lower()
+        start, stop, closing, name, attributes = token
+        if start > at:
+            say(page[at:start])
+        at = stop
         if not name:
             continue
-        closing, attributes = bool(token.group(1)), token.group(3) or ""
         if not closing and (name in SKIPPED or name not in VOID and hidden(attributes)):
-            if name not in SKIPPED:  # a hidden element ends where as many of its kind are closed as opened
-                depth, stop = 1, at
-                for other in re.finditer(rf"<(/?){re.escape(name)}(?=[\s/>])", page[at:], re.I):
-                    depth += -1 if other.group(1) else 1
-                    stop = at + other.start()
-                    if not depth:
-                        break
-                if not depth:
-                    at = stop
+            if name not in SKIPPED:  # a hidden element that is not closed hides nothing
+                at = max(at, tags.element_end(start) or at)
             elif not attributes.endswith("/"):
-                over = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
-                at = over.start() if over else (end if name in ("script", "style") else at)
+                over = tags.closed(name, at)
+                at = over if over is not None else (end if name in ("script", "style") else at)
             if name in BLOCK:
                 flush()
             continue
@@ -134,10 +220,7 @@ def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
         flush()
         in_link = False
         if closing:
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == name:
-                    del open_[i:]
-                    break
+            open_.close(name)
         elif name not in VOID and name != "p":
             words = set()
             if name not in ("body", "html"):
@@ -146,7 +229,7 @@ def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
                     words.update(re.split(r"[^a-z0-9]+", named.get(a, "").lower()))
             comments = bool(words & COMMENT_WORDS)
             article = name in ARTICLE_TAGS and not comments
-            open_.append((name, article, comments or not article and (name in BOILER_TAGS or bool(words & BOILER_WORDS)), comments))
+            open_.push(name, article, comments or not article and (name in BOILER_TAGS or bool(words & BOILER_WORDS)), comments)
     flush()
     return found
 

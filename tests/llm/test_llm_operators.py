@@ -6,6 +6,7 @@ import html as entities
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -486,6 +487,26 @@ def test_main_text_leaves_out_what_is_hidden(attribute):
     assert html.main_text([page], html.model()) == ["A title\nSaid here."]
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<a <b ", "<a \"<b '", "<div>", "<div hidden>", "<svg>", "</p><section>", "<!--", "<a '>\"<b", "<![x", "<div><p>x</section>"],
+)
+def test_main_text_of_hostile_pages(page):
+    """A megabyte of markup that is left open takes a moment, with and without an end to the last tag."""
+    for text in (page * (1_000_000 // len(page)), page * (1_000_000 // len(page)) + "'>\">", "<p>before</p>" + page * 1000):
+        started = time.time()
+        html.blocks(text)
+        assert time.time() - started < 20
+
+
+def test_tags_in_quotes_and_open_tags():
+    said = lambda page: [b[0] for b in html.blocks(page)]
+    assert said("<p title='a > b'>one</p><p title=\"x'y\">two</p>") == ["one", "two"]
+    assert said("a < b <!-- <p>c --> d <a \">e</a>") == ["a < b d e"]
+    assert said("<div hidden><div>x</div>y</div>z<div hidden>w") == ["z", "w"]
+    assert said("one <b") == ["one <b"] and said("1 <!-- 2") == ["1"]
+
+
 def test_main_text_of_the_supplied_pages(spark, sf_dir):
     for row in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
         article = re.search("<article>(.*?)</article>", row["html"], re.S).group(1)
