@@ -7,8 +7,9 @@ prefix before it. Two tokens are compatible when no merge across their border wo
 before the merges that build them. Following the stored tokens back from the end gives the ids.
 
 Texts are cut into words as the vocabulary file declares it: NFC, lower case, white space dropped,
-letters, single digits and other runs, contractions apart. Words repeat, so each task keeps the
-encodings it has met, up to a bound.
+letters, single digits and other runs, contractions apart. What is a letter, a number, a mark or a
+capital is as in the tokenizers library, whose Unicode version is not that of Python. Words repeat, so
+each task keeps the encodings it has met, up to a bound.
 """
 
 from __future__ import annotations
@@ -30,6 +31,45 @@ _END = "\x00"
 _ODD_SPACES = regex.compile("[\x1c-\x1f]")
 _tables: dict[str, "Tables"] = {}
 
+# Where the Unicode tables of the tokenizers library differ from those of Python and regex.
+#: Code points (hexadecimal) that are letters, and that are numbers, in later versions only.
+LATER_LETTERS = (
+    "0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF "
+    "10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 "
+    "187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 "
+    "1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED "
+    "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+LATER_NUMBERS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
+#: Marks that the library's NFC, being of an earlier version, neither reorders, composes nor passes over.
+LATER_MARKS = (
+    "07FD 0898-089F 08CA-08D3 09FE 0C3C 0D3B-0D3C 0EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC "
+    "10EFD-10EFF 10F46-10F50 10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 "
+    "11A99 11D42 11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF"
+)
+#: Capitals that the library makes small: first, last, and the distance to the small letter.
+CAPITALS = (
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
+    (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
+)
+
+
+def characters(ranges: str) -> str:
+    """What stands between the brackets of a pattern for hexadecimal code points and ranges of them."""
+    return "".join("-".join(rf"\U{int(end, 16):08X}" for end in part.split("-")) for part in ranges.split())
+
+
+_LATER = regex.compile(f"[{characters(LATER_LETTERS)}{characters(LATER_NUMBERS)}]")
+_MARKS = regex.compile(f"([{characters(LATER_MARKS)}])")
+_SMALL = {c: c + step for first, last, step in CAPITALS for c in range(first, last + 1)}
+
+
+def composed(text: str) -> str:
+    """NFC of the library's Unicode version: marks that it lacks stand between parts that are composed apart."""
+    if not _MARKS.search(text):
+        return unicodedata.normalize("NFC", text)
+    return "".join(unicodedata.normalize("NFC", part) for part in _MARKS.split(text))
+
 
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte: itself where printable, else 256 and up."""
@@ -55,7 +95,10 @@ class Tables:
         self.special = {t["content"]: t["id"] for t in definition["added_tokens"]}
         self.names.update({i: t for t, i in self.special.items()})
         patterns = definition["pre_tokenizer"]["pretokenizers"]
-        self.pieces = regex.compile(next(p["pattern"]["Regex"] for p in patterns if p["type"] == "Split"))
+        pattern = next(p["pattern"]["Regex"] for p in patterns if p["type"] == "Split")
+        self.pieces = regex.compile(pattern)
+        earlier = pattern.replace(r"\p{L}", rf"[\p{{L}}--[{characters(LATER_LETTERS)}]]").replace(r"\p{N}", rf"[\p{{N}}--[{characters(LATER_NUMBERS)}]]")
+        self.earlier_pieces = regex.compile(earlier, regex.V1)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.letters = byte_letters()
         #: rank of the merge of two tokens; made[t]: that of the merge that makes t, -1 for a single letter
@@ -148,7 +191,7 @@ class Tables:
     def learn(self, chunks: set[str]) -> None:
         """Encode the texts without white space that are not known yet."""
         known = self.known_ids
-        cut = {c: self.pieces.findall(c) for c in chunks}
+        cut = {c: (self.earlier_pieces if _LATER.search(c) else self.pieces).findall(c) for c in chunks}
         found = self.pieces_ids(list({p for pieces in cut.values() for p in pieces if p not in known}))
         ids = {p: " ".join(map(str, made)) for p, made in found.items()}
         text = {p: " ".join([self.names[i] for i in made]) for p, made in found.items()}
@@ -165,7 +208,7 @@ class Tables:
                 found.append(" " + part)
                 self.known_ids[" " + part], self.known_text[" " + part] = str(self.special[part]), part
                 continue
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+            part = composed(part).replace("Σ", "σ").lower().translate(_SMALL) if not part.isascii() else part.lower()
             found.extend(part.split() if not _ODD_SPACES.search(part) else filter(None, regex.split(r"\s+", part)))
         return found
 

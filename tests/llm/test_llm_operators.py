@@ -537,6 +537,35 @@ def test_bpe_equals_the_library(spark):
         assert got[i]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("form", ["%s a%sb 1%s2", "a\u0345%s\u0301"])
+def test_bpe_of_all_code_points_equals_the_library(form):
+    """Alone, between letters and digits, and among marks; planes that hold no characters are left out."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    with open(bpe.default_vocabulary(), "rb") as file:
+        table = bpe.tables(file.read())
+    points = [chr(c) for c in (*range(0xD800), *range(0xE000, 0x34000), *range(0x3D000, 0x3FFFE), *range(0xE0000, 0xE0200))]
+    for at in range(0, len(points), 2000):
+        text = "  ".join(form.replace("%s", c) for c in points[at : at + 2000])
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert table.encode([text]) == [(" ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False))]
+
+
+def test_bpe_composes_as_the_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    with open(bpe.default_vocabulary(), "rb") as file:
+        table = bpe.tables(file.read())
+    r = random.Random(3)
+    marks = "\u0301\u0323\u0345\u0898\u1abf\u1ac5\u1df6\U00011930\U0001e4ec"
+    for _ in range(3000):
+        text = "".join(r.choice("aeIΣσς \U00011935\U00011938\u1100\u1161\u1c89\ua7da" + marks) for _ in range(12))
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert table.encode([text])[0][0] == " ".join(map(str, ids)), ascii(text)
+
+
 def test_bpe_forgets_and_goes_on(monkeypatch):
     with open(bpe.default_vocabulary(), "rb") as file:
         table = bpe.tables(file.read())
