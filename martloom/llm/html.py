@@ -2,7 +2,8 @@
 
 A page is cut into text blocks at block-level tags. Each block has its word count and the share of its
 words inside links, the same of the blocks before and after it, and whether it stands in an article
-or in a container whose tag, class, id or role names something else. A decision tree fitted on the
+or in a container whose tag, class, id or role names something else. Such a container counts as the
+article after all if it holds the page's title or most of its words. A decision tree fitted on the
 blocks of the small labelled pages below says which blocks are main text.
 """
 
@@ -10,7 +11,9 @@ from __future__ import annotations
 
 import functools
 import html as entities
+import random
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +48,14 @@ BOILER_WORDS = set(
     "respond discussion share sharing social related recommended recommendations subscribe subscription newsletter "
     "signup login search form copyright legal pagination pager complementary contentinfo dialog tags".split()
 )
+#: Words that may stand beside one of them in a name; a name with any other word says nothing ("has-sidebar", "related-work").
+PLAIN_WORDS = set("area bar block body bottom box container content inner item items left links list main outer page post right section site the top wrap wrapper".split())
 COMMENT_WORDS = {"comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "discussion"}
 ARTICLE_TAGS = {"article", "main"}
+#: Tags that are never the article, whatever they hold.
+NEVER_TAGS = BOILER_TAGS - {"header", "form"}
+#: Unlinked words that stand beside a page's first h1 in a container that holds the article.
+BESIDE_TITLE = 20
 
 FEATURES = (
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "in_article",
@@ -140,18 +149,29 @@ class Scanner:
         return found and found.start()
 
 
-class Open:
-    """The open blocks, with what holds inside all of them."""
+def names_of(attributes: str) -> set[str]:
+    """Words of the class names, id and role that consist of words for what is not the article, plain words and numbers."""
+    named, found = attributes_of(attributes), set()
+    for a in ("class", "id", "role"):
+        for name in named.get(a, "").lower().split():
+            words = {w for w in re.split(r"[^a-z]+", name) if w}
+            if words & BOILER_WORDS and words <= BOILER_WORDS | PLAIN_WORDS:
+                found |= words & BOILER_WORDS
+    return found
+
+
+class Containers:
+    """Block elements of a page as a tree, and what each of them holds."""
 
     def __init__(self) -> None:
-        # name; in comments; in an article and in boilerplate if no block is of comments; in boilerplate at all
-        self.stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+        # parent; article; boilerplate: 0 no, 1 unless it holds the article, 2 in any case; comments
+        self.kinds: list[tuple[int, bool, int, bool]] = [(0, False, 0, False)]
+        self.stack: list[tuple[str, int]] = [("", 0)]
         self.names: dict[str, int] = {}
 
-    def push(self, name: str, article: bool, boiler: bool, comments: bool) -> None:
-        _, commented, inside, inner, outer = self.stack[-1]
-        inner = boiler or inner and not article
-        self.stack.append((name, commented or comments, inside or article, inner, outer or boiler))
+    def push(self, name: str, article: bool, boiler: int, comments: bool) -> None:
+        self.kinds.append((self.stack[-1][1], article, boiler, comments))
+        self.stack.append((name, len(self.kinds) - 1))
         self.names[name] = self.names.get(name, 0) + 1
 
     def close(self, name: str) -> None:
@@ -161,18 +181,54 @@ class Open:
             if closed == name:
                 break
 
-    def here(self) -> tuple[bool, bool]:
-        """Whether in an article, and in boilerplate."""
-        _, commented, inside, inner, outer = self.stack[-1]
-        return (False, outer) if commented else (inside, inner)
+    def here(self) -> int:
+        return self.stack[-1][1]
+
+    def judge(self, where: list[int], unlinked: list[int], title: int | None) -> list[tuple[bool, bool]]:
+        """For each container whether it is in an article, and in boilerplate.
+
+        ``where`` has the container of each block, ``unlinked`` its words outside links, ``title`` is the
+        block of the first h1. A container named as boilerplate is none if it holds the h1 with BESIDE_TITLE
+        more words, or more than half of the words, and no article or main has words outside of it.
+        """
+        n = len(self.kinds)
+        held, articles, titled = [0] * n, [0] * n, [False] * n
+        inside = [False] * n
+        commented = [False] * n
+        for i in range(1, n):
+            parent, article, _, comments = self.kinds[i]
+            commented[i] = commented[parent] or comments
+            inside[i] = inside[parent] or article
+        for at, words in zip(where, unlinked):
+            held[at] += words
+            articles[at] += words if inside[at] and not commented[at] else 0
+        if title is not None:
+            titled[where[title]] = True
+        for i in range(n - 1, 0, -1):
+            parent = self.kinds[i][0]
+            held[parent] += held[i]
+            articles[parent] += articles[i]
+            titled[parent] = titled[parent] or titled[i]
+        beside = BESIDE_TITLE + (unlinked[title] if title is not None else 0)
+        out, inner, outer = [(False, False)], [False] * n, [False] * n
+        for i in range(1, n):
+            parent, article, kind, _ = self.kinds[i]
+            holds = articles[i] == articles[0] and (titled[i] and held[i] >= beside or 2 * held[i] > held[0])
+            boiler = kind == 2 or kind == 1 and not holds
+            inner[i] = boiler or inner[parent] and not article
+            outer[i] = outer[parent] or boiler
+            out.append((False, outer[i]) if commented[i] else (inside[i], inner[i]))
+        return out
 
 
 def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
     """Text, word count, link density, in an article, in boilerplate: for each block that has text."""
     if not page:
         return []
-    found: list[tuple[str, int, float, bool, bool]] = []
-    open_, tags = Open(), Scanner(page)
+    found: list[tuple[str, int, int]] = []
+    where: list[int] = []
+    title: int | None = None
+    open_, tags = Containers(), Scanner(page)
     text: list[str] = []
     links = [0]
     in_link = False
@@ -181,7 +237,8 @@ def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
         words = "".join(text).split()
         text.clear()
         if words:
-            found.append((" ".join(words), len(words), min(1.0, links[0] / len(words)), *open_.here()))
+            found.append((" ".join(words), len(words), min(links[0], len(words))))
+            where.append(open_.here())
         links[0] = 0
 
     def say(piece: str) -> None:
@@ -219,19 +276,19 @@ def blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
             continue
         flush()
         in_link = False
+        if name == "h1" and title is None and not closing:
+            title = len(found)
         if closing:
             open_.close(name)
         elif name not in VOID and name != "p":
-            words = set()
-            if name not in ("body", "html"):
-                named = attributes_of(attributes)
-                for a in ("class", "id", "role"):
-                    words.update(re.split(r"[^a-z0-9]+", named.get(a, "").lower()))
+            words = names_of(attributes) if name not in ("body", "html") else set()
             comments = bool(words & COMMENT_WORDS)
             article = name in ARTICLE_TAGS and not comments
-            open_.push(name, article, comments or not article and (name in BOILER_TAGS or bool(words & BOILER_WORDS)), comments)
+            never = comments or not article and name in NEVER_TAGS
+            open_.push(name, article, 2 if never else int(not article and (name in BOILER_TAGS or bool(words))), comments)
     flush()
-    return found
+    judged = open_.judge(where, [n - linked for _, n, linked in found], title if title is not None and title < len(found) else None)
+    return [(text, n, linked / n, *judged[at]) for (text, n, linked), at in zip(found, where)]
 
 
 def features(found: list[tuple[str, int, float, bool, bool]]) -> np.ndarray:
@@ -243,6 +300,9 @@ def features(found: list[tuple[str, int, float, bool, bool]]) -> np.ndarray:
     return rows
 
 
+#: Labelled pages made by rule that the tree is fitted on.
+ARRANGED = 600
+
 _LONG = "Some words about the matter of the day, which go on for a while so that the paragraph has a good length, as they do."
 #: Labelled pages: the markup, with <k> around each block that is main text.
 LABELLED = (
@@ -259,15 +319,79 @@ LABELLED = (
 )
 
 
-@functools.cache
-def model() -> tree.Node:
-    """The tree fitted on the labelled pages; always the same."""
+def arranged(number: int) -> str:
+    """A labelled page of a layout that ``number`` decides, many of them without an article element."""
+    r = random.Random(number)
+    vocabulary = _LONG.replace(",", "").replace(".", "").split()
+
+    def say(least: int, most: int) -> str:
+        return " ".join(r.choice(vocabulary) for _ in range(r.randint(least, most)))
+
+    def linked(least: int, most: int) -> str:
+        return f"<a href=/x>{say(least, most)}</a>"
+
+    def listed() -> str:
+        return "<ul>" + "".join(f"<li>{linked(1, 6)}</li>" for _ in range(r.randint(2, 9))) + "</ul>"
+
+    def bar() -> str:
+        return "<div>" + " | ".join(linked(1, 2) for _ in range(r.randint(2, 5))) + "</div>"
+
+    def line() -> str:
+        return f"<div>{say(1, 6)}</div>"
+
+    def teaser() -> str:
+        return f"<div>{linked(3, 9)}</div><div>{say(6, 14)}</div>" * r.randint(2, 4)
+
+    def single() -> str:
+        return f"<div>{linked(1, 6)}</div>" * r.randint(1, 3)
+
+    around = [listed, bar, single, lambda: bar() + line() + listed(), lambda: line() + bar(), lambda: listed() + line() + bar(), teaser]
+
+    def boiler() -> str:
+        tag = r.choice(["footer", "header", "aside", "nav", "form", f"div class={r.choice(named)}"])
+        inside = "".join(r.choice([lambda: f"<p>{say(1, 60)}</p>", lambda: say(1, 60), listed, bar, line])() for _ in range(r.randint(1, 3)))
+        return f"<{tag}>{inside}</{tag.split()[0]}>"
+
+    named = ["sidebar", "related", "share", "newsletter", "cookie-notice", "ad", "comments", "site-footer"]
+    wrap = r.choice(["<article>%s</article>", "<div class='content has-sidebar'>%s</div>", "<main>%s</main>", "%s", "<div>%s</div>", "<section id=post>%s</section>"])
+    marked = wrap.startswith(("<article", "<main"))  # then any block inside is text, short and linked ones too
+    paragraphs = [f"<p><k>{linked(1, 20)}</p>" if r.random() < 0.2 else f"<p><k>{say(1, 30)}</p>" for _ in range(marked * r.randint(0, 6))]
+    for _ in range(r.randint(3, 9)):
+        kind = r.random()
+        if kind < 0.6:
+            paragraphs.append(f"<p><k>{say(18, 90)}</p>")
+        elif kind < 0.75:
+            paragraphs.append(f"<p><k>{say(15, 40)} {linked(1, 4)} {say(5, 30)}</p>")
+        elif kind < 0.85:
+            paragraphs.append(f"<h2><k>{say(2, 7)}</h2><p><k>{say(20, 60)}</p>")
+        elif kind < 0.93:
+            paragraphs.append(f"<p><k>{say(8, 16)}</p><pre><k>{say(3, 40)}</pre><p><k>{say(15, 50)}</p>")
+        else:
+            paragraphs.append(boiler())
+    r.shuffle(paragraphs)
+    if marked:
+        text = f"<h1><k>{say(1, 9)}</h1>" + "".join(paragraphs)
+    else:
+        text = f"<h1><k>{say(2, 9)}</h1><p><k>{say(20, 60)}</p>" + "".join(paragraphs) + f"<p><k>{say(12, 50)}</p>"
+    before, after = ([r.choice([boiler, r.choice(around)])() for _ in range(r.randint(0, 3))] for _ in range(2))
+    page = "".join(before) + wrap.replace("%s", text) + "".join(after)
+    return f"<form id=aspnet>{page}</form>" if r.random() < 0.2 else page
+
+
+def labelled(pages: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the blocks of labelled pages, and which are main text."""
     rows, kept = [], []
-    for page in LABELLED:
+    for page in pages:
         found = blocks(page.replace("<k>", "\x02"))
-        rows.append(features([(t, *rest) for t, *rest in found]))
+        rows.append(features(found))
         kept += [t.startswith("\x02") for t, *_ in found]
-    return tree.fit(np.vstack(rows), np.array(kept, float), depth=6, least=1)
+    return np.vstack(rows), np.array(kept, float)
+
+
+@functools.cache
+def model() -> tree.Node:
+    """The tree fitted on the pages above and ARRANGED pages by rule; always the same."""
+    return tree.fit(*labelled([*LABELLED, *map(arranged, range(ARRANGED))]), depth=8, least=1)
 
 
 def main_text(pages: list[str | None], node: tree.Node) -> list[str]:

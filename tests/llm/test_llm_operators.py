@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, catalogue, decontaminate, html, jaccard, quality, rules, substrings, toxicity, urls, warc
+from martloom.llm import bpe, catalogue, decontaminate, html, jaccard, quality, rules, substrings, toxicity, tree, urls, warc
 from martloom.llm.components import components
 from martloom.llm.runtime import Scratch
 from martloom.llm.words import Batch
@@ -502,6 +502,42 @@ def test_main_text_without_an_article():
     assert html.main_text([page], html.model()) == [f"{long}\n{long}"]
 
 
+ARTICLE = "<h1>A title</h1><p>{0}</p><p>{0} {0}</p>".format(html._LONG)
+
+
+@pytest.mark.parametrize("opening", ["<div class='content has-sidebar'>", "<div class=related-work>", "<div class='post-tags-on'>", "<form id=aspnet>", "<header>", "<div class=banner>"])
+def test_containers_that_hold_the_article_are_no_boilerplate(opening):
+    closing = f"</{opening[1:].split()[0].rstrip('>')}>"
+    page = f"<ul><li><a>Home</a></li><li><a>News</a></li></ul>{opening}{ARTICLE}{closing}<div class=sidebar><p>{html._LONG}</p></div>"
+    assert html.main_text([page], html.model()) == [f"A title\n{html._LONG}\n{html._LONG} {html._LONG}"]
+
+
+@pytest.mark.parametrize("opening", ["<div class=sidebar>", "<form>", "<header>", "<div class='ad'>", "<div class='cookie-notice box'>", "<section id=comments>"])
+def test_containers_beside_an_article_stay_boilerplate(opening):
+    closing = f"</{opening[1:].split()[0].rstrip('>')}>"
+    page = f"{opening}<p>{' '.join([html._LONG] * 9)}</p>{closing}<article><h1>A title</h1><p>{html._LONG}</p></article>"
+    assert html.main_text([page], html.model()) == [f"A title\n{html._LONG}"]
+
+
+def test_comments_stay_out_however_long():
+    page = f"<div><h1>A title</h1><p>{html._LONG}</p></div><div class=comments>" + f"<article><p>{html._LONG}</p></article>" * 20 + "</div>"
+    assert html.main_text([page], html.model()) == [f"A title\n{html._LONG}"]
+
+
+def test_block_tree_on_held_out_pages():
+    x, y = html.labelled(html.arranged(n) for n in range(html.ARRANGED, html.ARRANGED + 200))
+    kept = tree.predict(html.model(), x) > 0.5
+    assert (kept == y).mean() > 0.98 and kept[y == 1].mean() > 0.98 and kept[y == 0].mean() < 0.02
+    used, nodes = set(), [html.model()]
+    while nodes:
+        node = nodes.pop()
+        if node.column >= 0:
+            used.add(html.FEATURES[node.column])
+            nodes += [node.low, node.high]
+    print(f"{(kept == y).mean():.4f} of {len(y)} blocks right; splits on {sorted(used)}")
+    assert used >= {"words", "link_density", "words_before", "words_after", "link_density_after"}
+
+
 @pytest.mark.parametrize(
     "attribute",
     [
