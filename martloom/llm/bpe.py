@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 
 import pyarrow as pa
@@ -61,6 +62,8 @@ def characters(ranges: str) -> str:
 
 _LATER = regex.compile(f"[{characters(LATER_LETTERS)}{characters(LATER_NUMBERS)}]")
 _MARKS = regex.compile(f"([{characters(LATER_MARKS)}])")
+#: The first listed mark or capital is U+07FD.
+_LISTED = re.compile("[\u07fd-\u1fff\ua000-\U0010ffff]")
 _SMALL = {c: c + step for first, last, step in CAPITALS for c in range(first, last + 1)}
 
 
@@ -191,7 +194,7 @@ class Tables:
     def learn(self, chunks: set[str]) -> None:
         """Encode the texts without white space that are not known yet."""
         known = self.known_ids
-        cut = {c: (self.earlier_pieces if _LATER.search(c) else self.pieces).findall(c) for c in chunks}
+        cut = {c: (self.earlier_pieces if not c.isascii() and _LATER.search(c) else self.pieces).findall(c) for c in chunks}
         found = self.pieces_ids(list({p for pieces in cut.values() for p in pieces if p not in known}))
         ids = {p: " ".join(map(str, made)) for p, made in found.items()}
         text = {p: " ".join([self.names[i] for i in made]) for p, made in found.items()}
@@ -208,7 +211,12 @@ class Tables:
                 found.append(" " + part)
                 self.known_ids[" " + part], self.known_text[" " + part] = str(self.special[part]), part
                 continue
-            part = composed(part).replace("Σ", "σ").lower().translate(_SMALL) if not part.isascii() else part.lower()
+            if _LISTED.search(part):
+                part = composed(part).replace("Σ", "σ").lower().translate(_SMALL)
+            elif not part.isascii():
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+            else:
+                part = part.lower()
             found.extend(part.split() if not _ODD_SPACES.search(part) else filter(None, regex.split(r"\s+", part)))
         return found
 
