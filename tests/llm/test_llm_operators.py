@@ -97,6 +97,35 @@ def test_substring_dedup_keeps_white_space_and_columns(spark, documents, corpus)
     assert substrings.without(b" a b\n c d ", [b"a", b"b", b"c", b"d"], np.array([0, 1, 0, 1], bool)) == "a\n c"
 
 
+@pytest.mark.parametrize("window", [50, 20, 3])
+def test_factors_are_a_parse_against_texts_with_smaller_ids(spark, documents, corpus, window):
+    words = {i: split(t) for i, t in corpus}
+    factors = {}
+    for f in substrings.factorize(documents, Scratch(spark), window).collect():
+        assert f["source"] < f["doc_id"] and f["origin"] <= f["start"] and f["length"] > 0
+        end, back = f["start"] + f["length"], f["start"] - f["origin"]
+        source = words[f["source"]][f["source_start"] - back : f["source_start"] + f["length"]]
+        assert words[f["doc_id"]][f["origin"] : end] == source and len(source) >= window
+        factors.setdefault(f["doc_id"], []).append((f["start"], end))
+    for found in factors.values():
+        found.sort()
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+    removed = {i: r[1] for i, r in brute_removed(corpus, window).items() if r[1]}
+    assert {i: max(e for _, e in f) for i, f in factors.items()}.keys() == removed.keys()
+    got = {r["doc_id"]: r["n_factors"] for r in substrings.dedup(documents, Scratch(spark), window=window, digest=True).collect()}
+    assert got == {i: len(factors.get(i, [])) for i in words}
+
+
+def test_parse_takes_the_match_that_goes_on_furthest():
+    # the first match is cut by none, the second begins inside it and goes on, the third is inside the second
+    factors = substrings.parse([(0, 60, 5, 0), (40, 100, 7, 3), (50, 100, 2, 0), (130, 180, 1, -130)])
+    assert [(f.start, f.end, f.source, f.origin) for f in factors] == [(0, 60, 5, 0), (60, 100, 2, 50), (130, 180, 1, 130)]
+    assert substrings.covered(200, factors, 50).sum() == 150
+    # a factor of which the match is too short even back over the boundary is no duplicate span
+    assert substrings.covered(200, factors, 51).sum() == 60
+    assert substrings.parse([]) == []
+
+
 def test_substring_dedup_of_repeated_rows_and_empty_table(spark, empty):
     text = " ".join(map(str, range(60)))
     rows = spark.createDataFrame([(1, text), (1, text), (2, text), (None, text)], "doc_id bigint, text string")
