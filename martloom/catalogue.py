@@ -17,6 +17,7 @@ from martloom.operators import incremental, joins, merge, quality, ranking
 from martloom.operators.clean import conform, drop_present, nan_to_null, project
 from martloom.plans import checks, customer_report as report, daily, documents, sales, staging, warehouse
 from martloom.plans.market_load import MarketWarehouse
+from martloom.plans.retention import WeeklyRetention
 from martloom.schemas import (
     CUSTOMER_RESEARCH,
     DM_USERS,
@@ -252,6 +253,19 @@ def sales_days_retention(spark, sf_dir):
     return stored.select(*RETENTION)
 
 
+@query
+def retention_by_deltas(spark, sf_dir):
+    """Retention stored after a first load, changed by what a second adds and by the lines it refunds in earlier weeks."""
+    first, second = (materialize(rows, "load") for rows in two_loads_of_sales(spark, sf_dir))
+    stored = WeeklyRetention(spark, scratch_path(spark, "retention"), materialize(calendar(spark, sf_dir), "calendar"))
+    replaced = first.join(second.select("uniq_id"), "uniq_id", "left_semi")
+    for before, after in ((first.limit(0), first), (replaced, second)):
+        moved = materialize(stored.moved(before, after), "moved-counts")
+        stored.begin(moved)
+        stored.finish(moved)
+    return spark.read.schema(ddl(F_CUSTOMER_RETENTION)).parquet(stored.mart).select(*RETENTION)
+
+
 @query
 def sales_days_customers(spark, sf_dir):
     """Customers as the two runs have added them."""

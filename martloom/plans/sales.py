@@ -7,13 +7,13 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martloom.functions.dates import as_day, clock, iso_week, iso_week_period
-from martloom.functions.numbers import count_when, signed, sum_when
+from martloom.functions.dates import as_day, clock
+from martloom.functions.numbers import signed
 from martloom.operators.clean import conform, default_column, drop_present, keep_first
 from martloom.operators.joins import with_calendar
 from martloom.operators.merge import in_partitions, insert_new, inserted, upsert_on_key
+from martloom.plans.retention import WEEKLY, WeeklyRetention, customer_counts, retention_of
 from martloom.schemas import (
-    F_CUSTOMER_RETENTION,
     F_SALES,
     F_SALES_RULES,
     REFUNDED,
@@ -29,8 +29,6 @@ from martloom.sources.bucketed import KeyIndex
 from martloom.sources.files import read_csv
 from martloom.sources.releases import Releases
 
-WEEKLY = "weekly"
-
 
 def clean_increment(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
     """Drop the legacy id, keep one row per ``uniq_id``, default the status.
@@ -132,31 +130,7 @@ def customer_retention(
     ``by_year=False`` uses the bare week number, which puts the same week of all years together.
     Without ``business_date`` every week is computed in one pass.
     """
-    period = iso_week_period if by_year else iso_week
-    days = calendar.select("date_id", "fact_date", period("fact_date").cast("bigint").alias("period_id"))
-    if business_date is not None:
-        days = days.filter(F.col("period_id") == period(F.lit(business_date)))
-    # Calendar rows are bounded by the span of dates, see with_calendar.
-    in_week = f_sales.join(F.broadcast(days.select("date_id", "period_id")), "date_id")
-
-    shipped = F.col("status") == SHIPPED
-    per_customer = in_week.groupBy("period_id", "customer_id", "item_id").agg(
-        count_when(shipped).alias("shipped_cnt"),
-        count_when(F.col("status") == REFUNDED).alias("refunded_cnt"),
-        F.sum(F.when(shipped, F.col("payment_amount")).otherwise(0)).alias("shipped_revenue"),
-    )
-    # One row per customer and item here, so counting customers needs no DISTINCT.
-    new, returning = F.col("shipped_cnt") == 1, F.col("shipped_cnt") > 1
-    known = F.col("customer_id").isNotNull()
-    per_item = per_customer.groupBy("period_id", "item_id").agg(
-        count_when(new & known).alias("new_customers_count"),
-        count_when(returning & known).alias("returning_customers_count"),
-        count_when((F.col("refunded_cnt") > 0) & known).alias("refunded_customers_count"),
-        sum_when(new, "shipped_revenue", "decimal(10,2)").alias("new_customers_revenue"),
-        sum_when(returning, "shipped_revenue", "decimal(10,2)").alias("returning_customers_revenue"),
-        F.sum("refunded_cnt").alias("customers_refunded"),
-    )
-    return conform(per_item.withColumn("period_name", F.lit(WEEKLY)), F_CUSTOMER_RETENTION)
+    return retention_of(customer_counts(f_sales, calendar, business_date, by_year))
 
 
 def replace_retention_week(retention: DataFrame, path: str, period_id: int) -> None:
@@ -179,14 +153,15 @@ def run_sales_day(
     business_date: date,
     run_ts: datetime,
 ) -> None:
-    """Daily run: increment file -> staging -> dimensions -> f_sales -> retention of the week.
+    """Daily run: increment file -> staging -> dimensions -> f_sales -> retention of the weeks that change.
 
-    Staging and retention replace their own day and week, new dimension rows are added in one release, and
+    Staging replaces its own day, new dimension rows are added in one release, and
     of ``f_sales``, partitioned by ``date_id``, only the partitions that the increment touches are
-    read and rewritten; an index tells in which ones the lines of its keys are. A rerun of a day gives the same tables.
+    read and rewritten; an index tells in which ones the lines of its keys are. Retention is changed by the lines
+    that come and those that they replace, also in earlier weeks. A rerun of a day gives the same tables.
     """
     root = root.rstrip("/")
-    staging, facts, retention = f"{root}/user_order_log", f"{root}/f_sales", f"{root}/f_customer_retention"
+    staging, facts = f"{root}/user_order_log", f"{root}/f_sales"
 
     increment = clean_increment(read_csv(spark, increment_csv, USER_ORDER_INCREMENT))
     stage_orders(conform(increment, USER_ORDER_INCREMENT), staging, business_date)
@@ -209,11 +184,14 @@ def run_sales_day(
     index = sales_index(spark, root)
     index.recover(current)
     touched = materialize(index.touched(batch), "touched")
+    retention = WeeklyRetention(spark, root, calendar)
+    retention.recover(current)
+    stored = in_partitions(current, touched, "date_id")
+    replaced = stored.join(batch.select("uniq_id"), "uniq_id", "left_semi")
+    moved = materialize(retention.moved(replaced, batch), "moved-counts")
     index.begin(touched)
-    changed = upsert_on_key(in_partitions(current, touched, "date_id"), batch, ["uniq_id"], keep=["created_at"])
+    retention.begin(moved)
+    changed = upsert_on_key(stored, batch, ["uniq_id"], keep=["created_at"])
     tables.replace_touched(changed, facts, "date_id", touched, F_SALES_RULES)
     index.finish(batch)
-
-    weekly = customer_retention(spark.read.schema(ddl(F_SALES)).parquet(facts), calendar, business_date)
-    iso = business_date.isocalendar()
-    replace_retention_week(weekly, retention, iso.year * 100 + iso.week)
+    retention.finish(moved)

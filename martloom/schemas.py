@@ -142,6 +142,17 @@ F_CUSTOMER_RETENTION = {
     "customers_refunded": "int",
 }
 
+#: Of each week what retention is computed from.
+CUSTOMER_COUNTS = {
+    "period_id": "bigint",
+    "customer_id": "bigint",
+    "item_id": "bigint",
+    "n_lines": "bigint",
+    "shipped_cnt": "bigint",
+    "refunded_cnt": "bigint",
+    "shipped_revenue": "decimal(28,2)",
+}
+
 SALES_DIMENSIONS = {
     "d_city": {"city_id": "bigint", "city_name": "string"},
     "d_item": {"item_id": "bigint", "item_name": "string"},

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.plans import customer_report as report, daily, documents, sales, warehouse
+from martloom.plans.retention import WeeklyRetention
 from martloom.schemas import (
     D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_CUSTOMER_RETENTION, F_ORDER, F_SALES, LOAD_LOG, ddl,
 )
@@ -98,6 +99,32 @@ def test_sales_days(spark, rows, tmp_path, calendar):
     ]
 
 
+def test_late_refunds_change_the_weeks_of_the_lines_they_replace(spark, rows, tmp_path, calendar, monkeypatch):
+    root = str(tmp_path / "wh")
+
+    def same():
+        columns = [c for c in F_CUSTOMER_RETENTION if c != "period_name"]
+        stored = spark.read.schema(ddl(F_CUSTOMER_RETENTION)).parquet(f"{root}/f_customer_retention")
+        assert rows(stored, *columns) == rows(sales.customer_retention(facts(spark, root), calendar), *columns)
+        return rows(stored, "period_id", "item_id", "new_customers_count", "returning_customers_count", "customers_refunded")
+
+    def run(name, lines, day):
+        sales.run_sales_day(spark, increment(tmp_path, name, lines), root, calendar, date(2024, 1, day), T1)
+
+    run("a.csv", [line(1, "u1", 1, 1, "10.00"), line(2, "u2", 1, 1, "4.50"), line(3, "u3", 1, 2, "1.00")], 1)
+    assert same() == [(202401, 1, 0, 1, 0), (202401, 2, 1, 0, 0)]
+    # u2 and u3 are refunded a week later: the first week loses them, item 2 all its lines
+    late = [line(4, "u2", 9, 1, "4.50", "refunded"), line(5, "u3", 9, 2, "1.00", "refunded"), line(6, "u4", 9, 1, "2.00")]
+    expected = [(202401, 1, 1, 0, 0), (202402, 1, 1, 0, 1), (202402, 2, 0, 0, 1)]
+    with monkeypatch.context() as broken:  # the load stops when the fact is written and the counts are not
+        broken.setattr(WeeklyRetention, "finish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run("b.csv", late, 9)
+    for _ in range(2):
+        run("b.csv", late, 9)
+        assert same() == expected
+
+
 def test_empty_increment_clears_the_staged_day(spark, tmp_path, calendar):
     root = str(tmp_path / "wh")
     day = date(2024, 1, 1)
