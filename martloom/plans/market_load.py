@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,6 +15,7 @@ from martloom.plans.warehouse import (
     CRAFTSMAN_KEY,
     CUSTOMER_KEY,
     PRODUCT_KEY,
+    Market,
     MarketSources,
     conform_sources,
     latest_order,
@@ -21,6 +23,7 @@ from martloom.plans.warehouse import (
     merge_customers,
     merge_orders,
     merge_products,
+    resolve_lines,
     resolve_order_keys,
 )
 from martloom.schemas import (
@@ -77,18 +80,25 @@ class MarketWarehouse:
     def report(self) -> DataFrame | None:
         return self.store.read("customer_report")
 
-    def load(self, sources: MarketSources, run_ts: datetime) -> None:
+    def load(self, sources: MarketSources | Market, run_ts: datetime) -> None:
         """Merge the sources and bring the report up to date.
 
+        A :class:`Market` keeps lines and dimensions apart, so that its lines are never joined with all attributes.
+
         Several rows of one key in the sources are resolved to one: the last product type, the latest
         completion. A load that fails can be run again: dimensions and orders are upserted, and the
         report is published together with the log entry that says up to when it is current.
         """
-        market = materialize(conform_sources(sources), "market")
+        if isinstance(sources, Market):
+            craftsmen, products, customers = sources.craftsmen, sources.products, sources.customers
+            resolve = partial(resolve_lines, sources)
+        else:
+            craftsmen = products = customers = materialize(conform_sources(sources), "market")
+            resolve = partial(resolve_order_keys, customers)
         changed = {
-            "d_craftsman": self._merged("d_craftsman", merge_craftsmen, market, run_ts, "craftsman_address"),
-            "d_product": self._merged("d_product", merge_products, market, run_ts, "product_type"),
-            "d_customer": self._merged("d_customer", merge_customers, market, run_ts, "customer_address"),
+            "d_craftsman": self._merged("d_craftsman", merge_craftsmen, craftsmen, run_ts, "craftsman_address"),
+            "d_product": self._merged("d_product", merge_products, products, run_ts, "product_type"),
+            "d_customer": self._merged("d_customer", merge_customers, customers, run_ts, "customer_address"),
         }
         # Published before any order refers to them, so that ids once used are never given again.
         ids = with_last_ids(self.store, {name: (rows, IDS[name]) for name, (rows, _) in changed.items()})
@@ -98,7 +108,7 @@ class MarketWarehouse:
         )
         # every key of the market is in a bucket that it has touched
         known = [self.dimensions[name].rows(changed[name][1]) for name in ("d_craftsman", "d_customer", "d_product")]
-        self._merge_orders(resolve_order_keys(market, *known), run_ts)
+        self._merge_orders(resolve(*known), run_ts)
 
         orders = self.orders()
         dimensions = {name: table.rows() for name, table in self.dimensions.items()}

@@ -296,3 +296,60 @@ def test_refresh_gives_the_same_ids(spark, rows):
     orders = [("o1", order_text("r1", [item("p1", 1, 1), item("p2", 1, 1)]), T1), ("o2", order_text("r1", []), T1)]
     a, b = build(spark, orders), build(spark, orders[::-1])
     assert rows(a.dm_orders) == rows(b.dm_orders) and rows(a.fct_product_sales) == rows(b.fct_product_sales)
+
+
+# --- the market with lines and dimensions apart ---
+
+
+@pytest.fixture
+def apart(spark):
+    """Lines with an equal copy, unknown and NULL ids; a customer id with two rows, one of them twice."""
+    day = date(2024, 1, 1)
+    lines = spark.createDataFrame(
+        [(1, day, None, "created", 1, 7, 5), (1, day, None, "created", 1, 7, 5), (2, day, day, "done", 1, 7, 6),
+         (3, day, day, "done", 9, 7, 6), (4, day, day, "done", None, 7, 6), (5, day, day, "done", 2, 7, 99)],
+        "order_id long, order_created_date date, order_completion_date date, order_status string,"
+        " craftsman_id long, product_id long, customer_id long")
+    def people(role, *found):
+        rows_ = [(i, name, street, day, f"{name}@x") for i, name, street in found]
+        return spark.createDataFrame(rows_, f"{role}_id long, {role}_name string, {role}_address string, {role}_birthday date, {role}_email string")
+    products = spark.createDataFrame(
+        [(7, "p", "b", "t", Decimal("2.00")), (8, "q", "b", "t", Decimal("1.00"))],
+        "product_id long, product_name string, product_description string, product_type string, product_price decimal(18,2)")
+    return (lines, people("craftsman", (1, "a", "s"), (2, "b", "s")), products,
+            people("customer", (5, "c", "s"), (6, "d", "s"), (6, "d", "s"), (6, "e", "s"), (8, "f", "s")))
+
+
+def test_a_market_kept_apart_equals_the_joined_one(spark, rows, apart):
+    lines, craftsmen, products, customers = apart
+    market = warehouse.conform_tables(lines, craftsmen, products, customers)
+    joined = lines.join(craftsmen, "craftsman_id").join(products, "product_id").join(customers, "customer_id").distinct()
+    for dim, columns in ((market.craftsmen, warehouse.CRAFTSMAN_COLUMNS), (market.products, warehouse.PRODUCT_COLUMNS),
+                         (market.customers, warehouse.CUSTOMER_COLUMNS)):
+        assert rows(dim, *columns) == rows(joined.select(*columns).distinct())
+    dims = (
+        warehouse.merge_craftsmen(spark.createDataFrame([], ddl(D_CRAFTSMAN)), joined, T1),
+        warehouse.merge_customers(spark.createDataFrame([], ddl(D_CUSTOMER)), joined, T1),
+        warehouse.merge_products(spark.createDataFrame([], ddl(D_PRODUCT)), joined, T1),
+    )
+    resolved = warehouse.resolve_lines(market.only(market.lines.distinct()), *dims)
+    assert rows(resolved) == rows(warehouse.resolve_order_keys(joined, *dims)) and resolved.count() == 3
+
+
+def test_market_lines_are_resolved_without_names(spark, apart):
+    market = warehouse.conform_tables(*apart)
+    dims = [spark.createDataFrame([], ddl(d)) for d in (D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT)]
+    plan = warehouse.resolve_lines(market, *dims)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_name" not in plan and "_email" not in plan
+
+
+def test_orders_of_other_days_stay_out_of_a_merge(spark, rows):
+    def load(day, status):
+        return spark.createDataFrame([(1, 1, 1, day, day, status)],
+            "product_id long, craftsman_id long, customer_id long, order_created_date date, order_completion_date date, order_status string")
+    first = warehouse.merge_orders(spark.createDataFrame([], ddl(F_ORDER)), load(date(2024, 1, 1), "done").unionByName(load(date(2024, 1, 3), "created")), T1)
+    after = warehouse.merge_orders(first, load(date(2024, 1, 3), "done"), T2)
+    assert rows(after, "order_created_date", "order_status", "load_dttm") == [
+        (date(2024, 1, 1), "done", T1), (date(2024, 1, 3), "done", T2)]
+    assert after.select("order_id").distinct().count() == 2
+    assert rows(warehouse.merge_orders(first, load(None, "done").limit(0), T2)) == rows(first)
