@@ -216,13 +216,21 @@ def build_document_warehouse(
     reader sees tables of different refreshes or broken ones.
     """
     orders = materialize(parse_orders(order_documents), "orders")
+    users, restaurants, timestamps, order_dim = build_order_tables(orders, user_documents, restaurant_documents)
+    products = materialize(dm_products(orders, restaurants), "dm_products")
+    sales = fct_product_sales(orders, order_dim, restaurants, products)
+    return DocumentWarehouse(users, restaurants, timestamps, products, order_dim, sales)
+
+
+def build_order_tables(
+    orders: DataFrame, user_documents: DataFrame, restaurant_documents: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Users, restaurants, times and orders of a warehouse; the items of the orders are not read."""
     users = materialize(dm_users(user_documents), "dm_users")
     restaurants = materialize(dm_restaurants(restaurant_documents), "dm_restaurants")
     timestamps = materialize(dm_timestamps(orders), "dm_timestamps")
-    products = materialize(dm_products(orders, restaurants), "dm_products")
     order_dim = materialize(dm_orders(orders, restaurants, users, timestamps), "dm_orders")
-    sales = fct_product_sales(orders, order_dim, restaurants, products)
-    return DocumentWarehouse(users, restaurants, timestamps, products, order_dim, sales)
+    return users, restaurants, timestamps, order_dim
 
 
 def _restaurant_ids(restaurants: DataFrame) -> DataFrame:

@@ -353,3 +353,17 @@ def test_orders_of_other_days_stay_out_of_a_merge(spark, rows):
         (date(2024, 1, 1), "done", T1), (date(2024, 1, 3), "done", T2)]
     assert after.select("order_id").distinct().count() == 2
     assert rows(warehouse.merge_orders(first, load(None, "done").limit(0), T2)) == rows(first)
+
+
+# --- orders of the document warehouse without their items ---
+
+
+def test_order_tables_need_no_items(spark, rows):
+    text = spark.createDataFrame([("o1", order_text("r1", [item("p1", "2.00", 3)]), T1)], "object_id string, object_value string, update_ts timestamp_ntz")
+    users = spark.createDataFrame([("u1", '{"name": "n", "login": "l"}')], "object_id string, object_value string")
+    restaurants = spark.createDataFrame([("r1", '{"_id": "r1", "name": "r"}', T1)], "object_id string, object_value string, update_ts timestamp_ntz")
+    headers = documents.parse_orders(text).drop("items")
+    whole = documents.build_document_warehouse(text, users, restaurants)
+    for found, table in zip(documents.build_order_tables(headers, users, restaurants),
+                            (whole.dm_users, whole.dm_restaurants, whole.dm_timestamps, whole.dm_orders)):
+        assert rows(found) == rows(table) and found.count() == 1
