@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from martloom.session import materialize
+
 
 def project(df: DataFrame, mapping: dict[str, object]) -> DataFrame:
     """Canonical column list: output name -> input column name or expression, in order."""
@@ -40,6 +42,21 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -
     return df.withColumn("_position", position).filter("_position = 1").drop("_position")
 
 
+def keep_first_sparse(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """What :func:`keep_first` gives, for input in which few keys come twice; it is read twice.
+
+    Keys that repeat are found by their hashes, and only rows of such hashes are shuffled whole.
+    """
+    place = F.xxhash64(*keys)
+    counts = df.groupBy(place.alias("_place")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(counts.filter("_n > 1").select("_place"), "repeated-keys")
+    if repeated.isEmpty():
+        return df
+    placed = df.withColumn("_place", place)
+    several = placed.join(repeated, "_place", "left_semi").drop("_place")
+    return placed.join(repeated, "_place", "left_anti").drop("_place").unionByName(keep_first(several, keys, order_by))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in floating-point columns becomes NULL."""
     floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}

@@ -28,15 +28,17 @@ def customer_counts(
     if business_date is not None:
         days = days.filter(F.col("period_id") == period(F.lit(business_date)))
     # Calendar rows are bounded by the span of dates, see with_calendar.
-    in_week = f_sales.join(F.broadcast(days), "date_id")
-
-    shipped = F.col("status") == SHIPPED
-    return in_week.groupBy("period_id", "customer_id", "item_id").agg(
-        F.count("*").alias("n_lines"),
-        count_when(shipped).alias("shipped_cnt"),
-        count_when(F.col("status") == REFUNDED).alias("refunded_cnt"),
-        F.sum(F.when(shipped, F.col("payment_amount")).otherwise(0)).alias("shipped_revenue"),
-    )
+    return _summed(_line_counts(f_sales.join(F.broadcast(days), "date_id")))
+
+
+def _line_counts(lines: DataFrame) -> DataFrame:
+    """Each line as the counts of one line."""
+    shipped, refunded = F.col("status") == SHIPPED, F.col("status") == REFUNDED
+    return conform(lines.select(
+        "period_id", "customer_id", "item_id", F.lit(1).alias("n_lines"),
+        F.when(shipped, 1).otherwise(0).alias("shipped_cnt"), F.when(refunded, 1).otherwise(0).alias("refunded_cnt"),
+        F.when(shipped, F.col("payment_amount")).otherwise(0).alias("shipped_revenue"),
+    ), CUSTOMER_COUNTS)
 
 
 def retention_of(counts: DataFrame) -> DataFrame:
@@ -76,24 +78,25 @@ class WeeklyRetention:
         return self.spark.read.schema(ddl(CUSTOMER_COUNTS)).parquet(self.counts)
 
     def moved(self, before: DataFrame, after: DataFrame) -> DataFrame:
-        """Counts of the lines of a load, and with the sign turned those of the lines that they replace.
+        """Counts of each line of a load, and with the sign turned of each line that they replace.
 
-        What cancels out is kept, so that every week of a line that moves is listed.
+        They are not added up here, as :meth:`finish` adds them to the stored ones by the same key. What is given must stay
+        as it is while the fact changes.
         """
-        taken = customer_counts(before, self.calendar).withColumns({c: -F.col(c) for c in MEASURES})
-        return conform(customer_counts(after, self.calendar).unionByName(taken), CUSTOMER_COUNTS)
+        days = self.calendar.select("date_id", iso_week_period("fact_date").cast("bigint").alias("period_id"))
+        added, taken = (_line_counts(lines.join(F.broadcast(days), "date_id")) for lines in (after, before))
+        taken = conform(taken.withColumns({c: -F.col(c) for c in MEASURES}), CUSTOMER_COUNTS)
+        return added.unionByName(taken)
 
     def begin(self, moved: DataFrame) -> None:
         """Note the weeks whose lines are about to change."""
         self.notes.publish({self.PENDING: moved.select("period_id").distinct()})
 
     def finish(self, moved: DataFrame) -> None:
-        """Add the signed counts to the stored ones and replace the weeks of the mart that this changes."""
-        changed = _summed(moved).filter(" or ".join(f"{c} <> 0" for c in MEASURES))
-        changed = materialize(changed, "changed-counts")
-        weeks = materialize(changed.select("period_id").distinct(), "changed-weeks")
+        """Add the signed counts to the stored ones and replace the weeks of the mart that they are of."""
+        weeks = materialize(moved.select("period_id").distinct(), "changed-weeks")
         kept = in_partitions(self.stored(), weeks, "period_id")
-        self._replace(_summed(kept.unionByName(changed)).filter("n_lines > 0"), weeks)
+        self._replace(_summed(kept.unionByName(moved)).filter("n_lines > 0"), weeks)
 
     def recover(self, facts: DataFrame) -> None:
         """Count all weeks if that was never done, or the weeks that a failed load may have changed."""

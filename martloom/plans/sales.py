@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom.functions.dates import as_day, clock
 from martloom.functions.numbers import signed
-from martloom.operators.clean import conform, default_column, drop_present, keep_first
+from martloom.operators.clean import conform, default_column, drop_present, keep_first, keep_first_sparse
 from martloom.operators.joins import with_calendar
 from martloom.operators.merge import in_partitions, insert_new, inserted, upsert_on_key
 from martloom.plans.retention import WEEKLY, WeeklyRetention, customer_counts, retention_of
@@ -30,17 +30,22 @@ from martloom.sources.files import read_csv
 from martloom.sources.releases import Releases
 
 
-def clean_increment(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
+def clean_increment(
+    raw: DataFrame, order_by: Sequence[Column] | None = None, divided_by: Sequence[str] = (), sparse: bool = False
+) -> DataFrame:
     """Drop the legacy id, keep one row per ``uniq_id``, default the status.
 
     ``order_by`` says which of several copies is the first; without it the order is by all columns,
-    so the choice does not depend on how the input was partitioned.
+    so the choice does not depend on how the input was partitioned. ``divided_by`` names columns that follow from the
+    uniq_id; they are dropped, and rows that come partitioned by them are not shuffled. ``sparse`` is for input in which few
+    uniq_ids come twice, see :func:`keep_first_sparse`.
     """
     df = drop_present(raw, "id")
     if "uniq_id" in df.columns:
-        order = order_by or [F.col(c) for c in df.columns if c != "uniq_id"]
-        df = keep_first(df, ["uniq_id"], order)
-    return default_column(df, "status", SHIPPED)
+        order = order_by or [F.col(c) for c in df.columns if c not in ("uniq_id", *divided_by)]
+        first = keep_first_sparse if sparse else keep_first
+        df = first(df, [*divided_by, "uniq_id"], order)
+    return default_column(df.drop(*divided_by), "status", SHIPPED)
 
 
 def stage_orders(increment: DataFrame, path: str, business_date: date) -> None:
@@ -142,7 +147,7 @@ def replace_retention_week(retention: DataFrame, path: str, period_id: int) -> N
 def sales_index(spark: SparkSession, root: str, buckets: int = 16) -> KeyIndex:
     """The partitions of ``f_sales`` by ``uniq_id``."""
     store = Releases(spark, f"{root.rstrip('/')}/f_sales_index")
-    return KeyIndex(store, "partitions", {"uniq_id": F_SALES["uniq_id"]}, ("date_id", F_SALES["date_id"]), buckets)
+    return KeyIndex(store, "partitions", {"uniq_id": F_SALES["uniq_id"]}, ("date_id", F_SALES["date_id"]), buckets, unique=True)
 
 
 def run_sales_day(
@@ -163,7 +168,7 @@ def run_sales_day(
     root = root.rstrip("/")
     staging, facts = f"{root}/user_order_log", f"{root}/f_sales"
 
-    increment = clean_increment(read_csv(spark, increment_csv, USER_ORDER_INCREMENT))
+    increment = clean_increment(read_csv(spark, increment_csv, USER_ORDER_INCREMENT), sparse=True)
     stage_orders(conform(increment, USER_ORDER_INCREMENT), staging, business_date)
     staged = spark.read.schema(ddl({**USER_ORDER_INCREMENT, "business_date": "date"})).parquet(staging)
     orders = staged.filter(F.col("business_date") == F.lit(business_date))
@@ -178,7 +183,7 @@ def run_sales_day(
     dims.publish({}, added={n: inserted(dims.read(n, empty[n]), rows, key) for n, (rows, key) in found.items()})
 
     sales = signed_sales(orders, calendar, business_date).withColumn("created_at", clock(run_ts))
-    batch = materialize(conform(sales, F_SALES), "f_sales_batch")
+    batch = conform(sales, F_SALES)
     empty_table(spark, F_SALES).write.mode("ignore").partitionBy("date_id").parquet(facts)
     current = spark.read.schema(ddl(F_SALES)).parquet(facts)
     index = sales_index(spark, root)
@@ -186,12 +191,32 @@ def run_sales_day(
     touched = materialize(index.touched(batch), "touched")
     retention = WeeklyRetention(spark, root, calendar)
     retention.recover(current)
-    stored = in_partitions(current, touched, "date_id")
-    replaced = stored.join(batch.select("uniq_id"), "uniq_id", "left_semi")
-    moved = materialize(retention.moved(replaced, batch), "moved-counts")
+    met = materialize(beside_stored(in_partitions(current, touched, "date_id"), batch), "f_sales_met")
+    moved = retention.moved(replaced_lines(met), met.filter("_loaded"))
     index.begin(touched)
     retention.begin(moved)
-    changed = upsert_on_key(stored, batch, ["uniq_id"], keep=["created_at"])
-    tables.replace_touched(changed, facts, "date_id", touched, F_SALES_RULES)
+    tables.replace_touched(upserted_lines(met), facts, "date_id", touched, F_SALES_RULES, stored=True)
     index.finish(batch)
     retention.finish(moved)
+
+
+def beside_stored(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The lines of a load, each beside the stored line that it replaces, and the other stored lines.
+
+    The one join of the upsert. ``batch`` holds a uniq_id once; that the result does is checked when it is stored.
+    """
+    if stored.isEmpty():
+        stored = empty_table(stored.sparkSession, F_SALES)
+    old = stored.select(*[F.col(c).alias(f"_old_{c}") for c in F_SALES], F.lit(True).alias("_stored"))
+    new = batch.select(*F_SALES).withColumn("_loaded", F.lit(True))
+    return new.join(old, F.col("uniq_id") == F.col("_old_uniq_id"), "full_outer")
+
+
+def replaced_lines(met: DataFrame) -> DataFrame:
+    return met.filter("_loaded and _stored").select(*[F.col(f"_old_{c}").alias(c) for c in F_SALES])
+
+
+def upserted_lines(met: DataFrame) -> DataFrame:
+    """All lines of :func:`beside_stored` as stored from now on; a line loaded before keeps its creation time."""
+    taken = {c: F.col("_loaded") for c in F_SALES} | {"created_at": F.col("_stored").isNull()}
+    return met.select(*[F.when(taken[c], F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c) for c in F_SALES])

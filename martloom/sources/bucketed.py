@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from martloom.operators.clean import conform
 from martloom.operators.merge import in_partitions, merge_upsert
+from martloom.operators.ranking import top_of_group
 from martloom.schemas import empty_table
 from martloom.sources.releases import BUCKET, Releases
 
@@ -73,13 +73,15 @@ class KeyIndex:
     """Which partitions of a fact hold a key, when the partition is not part of the key.
 
     The entries of a load are added to the buckets of their keys, so a load costs its own size, and the entries of a
-    key with the highest load number are the valid ones. A load looks its keys up in the buckets they name, tells
+    key with the highest load number are the valid ones. A batch may hold a key several times unless ``unique``. A load looks its keys up in the buckets they name, tells
     which partitions it is about to change, changes them, and adds its entries. Should it stop in
     between, the next one takes the entries of those partitions' rows from the fact itself.
     """
 
-    def __init__(self, store: Releases, name: str, keys: dict[str, str], partition: tuple[str, str], buckets: int = 64):
-        self.column = partition[0]
+    def __init__(
+        self, store: Releases, name: str, keys: dict[str, str], partition: tuple[str, str], buckets: int = 64, unique: bool = False
+    ):
+        self.column, self.unique = partition[0], unique
         self.store, self.name, self.pending = store, name, f"{name}_pending"
         self.table = BucketedTable(store, name, {**keys, self.column: partition[1], "load": "bigint"}, list(keys), buckets)
 
@@ -88,10 +90,7 @@ class KeyIndex:
 
     def _valid(self, entries: DataFrame) -> DataFrame:
         """The newest entries of each key; after a failed load there can be several."""
-        keys = self.table.keys
-        newest = entries.groupBy(*keys).agg(F.max("load").alias("_newest")).withColumnsRenamed({k: f"_k_{k}" for k in keys})
-        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("load") == F.col("_newest")])
-        return entries.join(newest, same, "left_semi")
+        return top_of_group(entries, self.table.keys, F.desc("load"), "all")
 
     def touched(self, batch: DataFrame) -> DataFrame:
         """Partition values that an upsert of ``batch`` changes: its own and those that hold its keys."""
@@ -108,7 +107,8 @@ class KeyIndex:
     def finish(self, batch: DataFrame) -> None:
         """Add where the keys of ``batch`` are now."""
         load = self.store.current()[0] + 1
-        entries = self.table.place(batch.select(*self.table.keys, self.column).distinct().withColumn("load", F.lit(load)))
+        places = batch.select(*self.table.keys, self.column)
+        entries = self.table.place((places if self.unique else places.distinct()).withColumn("load", F.lit(load)))
         done = batch.select(F.col(self.column).cast(self.table.columns[self.column])).limit(0)
         self.store.publish({self.pending: done}, added={self.name: entries}, squash={self.name: self._valid})
 

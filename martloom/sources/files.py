@@ -68,10 +68,10 @@ def _checked_header(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
-def land(df: DataFrame, path: str) -> None:
+def land(df: DataFrame, path: str, partition_by: Sequence[str] = (), **options: str) -> None:
     """Write the raw copy once, times to the microsecond; a path that is there already is left as it is."""
     times = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    df.write.mode("ignore").options(header=True, **times).csv(path)
+    df.write.mode("ignore").partitionBy(*partition_by).options(header=True, **times, **options).csv(path)
 
 
 def read_documents(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -13,6 +14,8 @@ from martloom.session import materialize, scratch_table
 
 #: Fixed value: the folder name that Spark gives to a NULL partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: Partitions that each task may write a file of, so that their rows need no shuffle to be gathered.
+FEW = 4
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -71,19 +74,20 @@ def replace_period(df: DataFrame, path: str, period: dict[str, object]) -> None:
     """
     shown = {name: NO_VALUE if value is None else value for name, value in period.items()}
     folder = "/".join([path.rstrip("/"), *[f"{name}={value}" for name, value in shown.items()]])
-    df.drop(*period).write.mode("overwrite").parquet(folder)
+    df.drop(*period).write.mode("overwrite").option("compression", "zstd").parquet(folder)
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], gather: bool = True) -> None:
     """Replace each partition that occurs in ``df``; others stay.
 
     The rebalance hint gathers a partition's rows into few files, and splits a partition that holds
-    a large share of the rows over several tasks. Spark stages the files and moves them at commit,
+    a large share of the rows over several tasks; without ``gather`` each task writes its own files. Spark stages the files and moves them at commit,
     so ``df`` may be computed from the table itself.
     """
     (
-        df.hint("rebalance", *partition_by)
+        (df.hint("rebalance", *partition_by) if gather else df)
         .write.mode("overwrite")
+        .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -91,18 +95,18 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> N
 
 
 def replace_touched(
-    df: DataFrame, path: str, partition_col: str, touched: DataFrame, rules: Constraints | None = None
+    df: DataFrame, path: str, partition_col: str, touched: DataFrame, rules: Constraints | None = None, stored: bool = False
 ) -> None:
     """Write the new content of touched partitions; those left without rows are emptied.
 
-    The content is staged once in the shared folder, checked there, and then written. ``touched``
-    lists partition values, so what reaches the driver is bounded by the number of partitions.
+    The content is staged once in the shared folder, checked there, and then written; one that is ``stored`` already is
+    read where it is. ``touched`` lists partition values, so what reaches the driver is bounded by the number of partitions.
     """
-    with scratch_table(df, "touched") as staged:
+    with nullcontext(df) if stored else scratch_table(df, "touched") as staged:
         if rules:
             enforce(staged, rules)
         left = staged.select(F.col(partition_col).alias("_left")).distinct()
         gone = touched.join(left, F.col(partition_col).eqNullSafe(F.col("_left")), "left_anti").distinct().collect()
-        write_partitions(staged, path, [partition_col])
+        write_partitions(staged, path, [partition_col], gather=len(left.take(FEW + 1)) > FEW)
         for row in gone:
             replace_period(staged.filter(F.lit(False)), path, {partition_col: row[0]})
