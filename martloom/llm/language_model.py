@@ -27,12 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom.llm.runtime import Scratch, map_batches, ship
-from martloom.llm.words import _hashes, mix, split
+from martloom.llm.words import _KEEP, _hashes, mix, split
 
 #: Words of a block; a longer text is cut, and its parts pass the last word on.
 BLOCK = 1 << 18
 #: Words of the corpus for one bucket of the key space; it gets at most as many keys.
 BUCKET = 1 << 20
+#: Blocks or answers in one Arrow batch; they are some MB each.
+ROWS = 4
 #: Weight of the root in the prior of a state.
 PRIOR = 32.0
 
@@ -125,18 +127,21 @@ def blocks_of(documents: DataFrame, held_out: Column, id_column: str, text_colum
     )
     ship(documents.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, schema = Cut(TaskContext.get().partitionId(), most), _schema(BLOCKS)
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                for block in cut.add(*row):
-                    yield _batch([block], schema)
-            if len(_hashes) > 1_000_000:
-                _hashes.clear()
-        if cut.size:
-            yield _batch([cut.done()], schema)
+    return rows.mapInArrow(lambda batches: _cut(batches, TaskContext.get().partitionId(), most), BLOCKS)
+
 
-    return rows.mapInArrow(run, BLOCKS)
+def _cut(batches: Iterator[pa.RecordBatch], partition: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The texts of a task as blocks. The words met are forgotten in time, and at the end, as the worker lives on."""
+    cut, schema = Cut(partition, most), _schema(BLOCKS)
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            for block in cut.add(*row):
+                yield _batch([block], schema)
+            if len(_hashes) > _KEEP:
+                _hashes.clear()
+    if cut.size:
+        yield _batch([cut.done()], schema)
+    _hashes.clear()
 
 
 class Block:
@@ -187,7 +192,7 @@ def _questions(blocks: DataFrame, buckets: int) -> DataFrame:
                     out.append((row["block"], kind, number, pack_sorted(keys[a:b]), pack(own)))
         return _batch(out, schema)
 
-    return map_batches(blocks, run, "block bigint, kind int, bucket int, keys binary, counts binary")
+    return map_batches(blocks, run, "block bigint, kind int, bucket int, keys binary, counts binary", rows=1)
 
 
 ANSWERS = "block bigint, kind int, bucket int, counts binary, tokens bigint, known bigint"
@@ -260,6 +265,7 @@ def score(
     # few bytes are much work here, so Spark shall not gather buckets or blocks in few tasks
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     asked = _questions(blocks, buckets).repartition(tasks, "kind", "bucket")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     answered = scratch.keep(asked.groupBy("kind", "bucket").applyInArrow(_answer, ANSWERS), "answers")
     totals = answered.filter("block is null").agg(F.sum("tokens"), F.sum("known")).first()
     tokens, known = totals[0] or 0, totals[1] or 0
@@ -274,7 +280,10 @@ def score(
             out += _score(Block(row), row["answers"], tokens, known, prior)
         return _batch(out, _schema(PART))
 
-    parts = scratch.keep(map_batches(joined, run, PART), "parts")
+    scored = map_batches(joined, run, PART, rows=1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
+    parts = scratch.keep(scored, "parts")
+    ship(spark)  # texts come in batches of the usual size again
     scratch.drop("blocks", "answers")
     total = lambda name: F.aggregate("p", F.lit(0.0), lambda a, x: a + x[name])
     texts = parts.groupBy("row").agg(

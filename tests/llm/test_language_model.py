@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from martloom.llm import language_model as lm
-from martloom.llm.runtime import Scratch
+from martloom.llm.runtime import Scratch, map_batches
 
 KIND = "doc_id bigint, text string, score string, held_out string, row int"
 COLUMNS = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -111,3 +112,22 @@ def test_packing():
     values = np.array([0, 1, 5, 2**63, 2**64 - 1], np.uint64)
     assert (lm.unpack_sorted(lm.pack_sorted(values)) == values).all()
     assert (lm.bucket_of(values, 7) == [0, 0, 0, 3, 6]).all()
+
+
+def test_words_are_forgotten(monkeypatch):
+    """A worker holds a bounded number of words while it cuts blocks, and none afterwards."""
+    monkeypatch.setattr(lm, "_KEEP", 1000)
+    most = []
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(20)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(20), pa.int64())] * 2 + [pa.array([False] * 20), pa.array([t.encode() for t in texts], pa.binary())],
+        names=["row", "id", "held", "text"])
+    blocks = [b for b in lm._cut(iter([batch]), 0, 500) if most.append(len(lm._hashes)) is None]
+    assert sum(sum(b.column("sizes")[0].as_py()) for b in blocks) == 20 * 401
+    assert max(most) < 1000 + 402 and not lm._hashes
+
+
+def test_blocks_go_through_one_by_one(spark):
+    df = spark.range(10).coalesce(1)
+    sizes = lambda **o: [r[0] for r in map_batches(df, lambda b: pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]), "n bigint", **o).collect()]
+    assert (sizes(), sizes(rows=1), sizes(rows=4)) == ([10], [1] * 10, [4, 4, 2])
