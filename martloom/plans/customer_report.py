@@ -62,6 +62,25 @@ def report_delta(details: DataFrame, load_log: DataFrame, mart: DataFrame) -> Da
     return joined.withColumn("is_reported", F.col("_reported").isNotNull()).drop("_reported")
 
 
+def changed_orders(
+    f_order: DataFrame, d_craftsman: DataFrame, d_customer: DataFrame, d_product: DataFrame, load_log: DataFrame
+) -> DataFrame:
+    """Orders that :func:`report_delta` can return: those of which any of the four rows changed since the last load.
+
+    Each dimension is filtered on its own load time and only the ids of what changed meet the orders, so that just the
+    orders found are joined with the attributes. Without a recorded load these are all orders.
+    """
+    since = last_loaded(load_log)
+    found = changed_since(["load_dttm"], since)
+    rows = f_order
+    for dim, key in ((d_craftsman, "craftsman_id"), (d_customer, "customer_id"), (d_product, "product_id")):
+        # Written first, so that Spark knows how few they are.
+        moved = materialize(dim.filter(changed_since(["load_dttm"], since)).select(key).distinct(), "moved-ids")
+        rows = rows.join(moved.withColumn(f"_moved_{key}", F.lit(True)), key, "left")
+        found = found | F.col(f"_moved_{key}").isNotNull()
+    return rows.filter(found).select(*f_order.columns)
+
+
 def changed_customers(
     f_order: DataFrame,
     d_craftsman: DataFrame,

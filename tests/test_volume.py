@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from martloom import bindings
 from martloom.operators import clean
-from martloom.plans import sales
-from martloom.schemas import F_SALES, ddl
+from martloom.plans import customer_report as report, sales
+from martloom.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER, F_SALES, LOAD_LOG, ddl
 from martloom.sources import tables
 from martloom.sources.bucketed import KeyIndex
 from martloom.sources.files import land, read_csv
@@ -95,3 +95,27 @@ def test_landed_by_day_and_packed(spark, tmp_path):
     land(df.drop("d").filter("false"), f"{path}/d=2024-01-07")
     read = lambda day: [tuple(r) for r in read_csv(spark, f"{path}/d=2024-01-0{day}", {"n": "int"}).collect()]
     assert (read(5), read(6), read(7)) == ([("a", 1)], [("b", None)], [])
+
+
+def test_only_orders_that_changed_meet_the_attributes(spark):
+    def table(columns, rows):
+        return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], ddl(columns))
+
+    names = ("craftsman", "customer", "product")
+    old, new = dict(load_dttm=T1), dict(load_dttm=T2)
+    dims = [
+        table(columns, [{f"{n}_id": 1, **old}, {f"{n}_id": 2, **new}, {f"{n}_id": 2, **new}])
+        for n, columns in zip(names, (D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT))
+    ]
+    ids = [(1, 1, 1, T1), (2, 1, 1, T1), (1, 2, 1, T1), (1, 1, 2, T1), (1, 1, 1, T2), (None, 1, 1, T1), (None, 2, 1, T1)]
+    orders = table(F_ORDER, [
+        dict(order_id=i, craftsman_id=a, customer_id=b, product_id=c, load_dttm=t) for i, (a, b, c, t) in enumerate(ids)
+    ])
+    log = spark.createDataFrame([(T1,)], ddl(LOAD_LOG))
+    found = report.changed_orders(orders, *dims, log)
+    assert sorted(r[0] for r in found.select("order_id").collect()) == [1, 2, 3, 4, 6]
+    assert found.columns == orders.columns
+    assert report.changed_orders(orders, *dims, log.limit(0)).count() == len(ids)
+    mart = spark.createDataFrame([(1, "2024-01")], "customer_id bigint, report_period string")
+    delta = lambda of: sorted(map(str, report.report_delta(report.order_details(of, *dims), log, mart).collect()))
+    assert delta(found) == delta(orders) != []
