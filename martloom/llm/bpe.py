@@ -62,6 +62,7 @@ def characters(ranges: str) -> str:
 
 _LATER = regex.compile(f"[{characters(LATER_LETTERS)}{characters(LATER_NUMBERS)}]")
 _MARKS = regex.compile(f"([{characters(LATER_MARKS)}])")
+_SMALL_LETTERS = re.compile("[a-z]+")
 #: The first listed mark or capital is U+07FD.
 _LISTED = re.compile("[\u07fd-\u1fff\ua000-\U0010ffff]")
 _SMALL = {c: c + step for first, last, step in CAPITALS for c in range(first, last + 1)}
@@ -102,6 +103,9 @@ class Tables:
         self.pieces = regex.compile(pattern)
         earlier = pattern.replace(r"\p{L}", rf"[\p{{L}}--[{characters(LATER_LETTERS)}]]").replace(r"\p{N}", rf"[\p{{N}}--[{characters(LATER_NUMBERS)}]]")
         self.earlier_pieces = regex.compile(earlier, regex.V1)
+        #: whether small letters of ASCII are one piece: what the pattern tries before a run of letters begins with an apostrophe
+        before, run, _ = pattern.partition(r"[\p{L}]+")
+        self.plain = bool(run) and all(p.startswith("'") for p in before.split("|")[:-1]) and before[-1:] in ("", "|")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.letters = byte_letters()
         #: rank of the merge of two tokens; made[t]: that of the merge that makes t, -1 for a single letter
@@ -114,16 +118,19 @@ class Tables:
             self.rank[pair] = rank
             if self.made[whole] < 0:
                 self.made[whole], self.halves[whole] = rank, pair
-        self.root: dict = {}
+        #: a state holds, for each letter before it, the token that begins there (-1: none) and the next state
+        self.root: dict[str, list] = {}
         for token, number in self.ids.items():
             end = token.endswith(suffix) and len(token) > len(suffix)
             text = token[: -len(suffix)] + _END if end else token
             if number in self.halves or len(text) - end == 1:
                 state = self.root
                 for letter in reversed(text):
-                    state = state.setdefault(letter, {})
-                state[""] = number
-        self.end: dict = self.root.get(_END, {})
+                    step = state.setdefault(letter, [-1, {}])
+                    state = step[1]
+                step[0] = number
+        self.end: dict[str, list] = self.root.get(_END, [-1, {}])[1]
+        self.shown = {i: str(i) for i in self.names}
         #: ids and decoded tokens of text without white space, each as text; a special token's key has a space
         self.known_ids: dict[str, str] = {}
         self.known_text: dict[str, str] = {}
@@ -151,7 +158,8 @@ class Tables:
             fits.clear()
         found: dict[str, list[int]] = {}
         before, last, back = "", [-1], [0]
-        for text, piece in sorted(("".join([letters[b] for b in p.encode()]), p) for p in pieces):
+        # the letters of printable ASCII are itself
+        for text, piece in sorted((p if p.isascii() and p.isprintable() else "".join([letters[b] for b in p.encode()]), p) for p in pieces):
             n, shared = len(text), 0
             for x, y in zip(before, text):
                 if x != y:
@@ -165,11 +173,11 @@ class Tables:
                 token = -1
                 while at:
                     at -= 1
-                    state = state.get(text[at])
-                    if state is None:
+                    step = state.get(text[at])
+                    if step is None:
                         token = -1
                         break
-                    token = state.get("", -1)
+                    token, state = step
                     if token >= 0:
                         if not at:
                             break
@@ -194,14 +202,17 @@ class Tables:
     def learn(self, chunks: set[str]) -> None:
         """Encode the texts without white space that are not known yet."""
         known = self.known_ids
-        cut = {c: (self.earlier_pieces if not c.isascii() and _LATER.search(c) else self.pieces).findall(c) for c in chunks}
-        found = self.pieces_ids(list({p for pieces in cut.values() for p in pieces if p not in known}))
-        ids = {p: " ".join(map(str, made)) for p, made in found.items()}
-        text = {p: " ".join([self.names[i] for i in made]) for p, made in found.items()}
+        whole = set(filter(_SMALL_LETTERS.fullmatch, chunks)) if self.plain else set()
+        cut = {c: (self.earlier_pieces if not c.isascii() and _LATER.search(c) else self.pieces).findall(c) for c in chunks - whole}
+        found = self.pieces_ids(list(whole.union([p for pieces in cut.values() for p in pieces if p not in known])))
+        shown, names = self.shown.__getitem__, self.names.__getitem__
+        ids = {p: " ".join(map(shown, made)) for p, made in found.items()}
+        text = {p: " ".join(map(names, made)) for p, made in found.items()}
         for chunk, pieces in cut.items():
-            self.known_text[chunk] = " ".join([text[p] if p in text else self.known_text[p] for p in pieces])
+            text[chunk] = " ".join([text[p] if p in text else self.known_text[p] for p in pieces])
             ids[chunk] = " ".join([ids[p] if p in ids else known[p] for p in pieces])
-        known.update((c, ids[c]) for c in cut)
+        for chunk in chunks:
+            known[chunk], self.known_text[chunk] = ids[chunk], text[chunk]
 
     def chunks(self, text: str | None) -> list[str]:
         """The text without white space, in order, and special tokens marked by a space."""

@@ -678,6 +678,33 @@ def test_bpe_forgets_and_goes_on(monkeypatch):
 # all queries
 
 
+def test_words_of_small_letters_need_no_pattern():
+    import json
+
+    with open(bpe.default_vocabulary(), "rb") as file:
+        definition = json.load(file)
+
+    class Counted:
+        def __init__(self, pattern):
+            self.pattern, self.seen = pattern, []
+
+        def findall(self, text):
+            self.seen.append(text)
+            return self.pattern.findall(text)
+
+    texts = ["the hello helloworld zzqxj", "the hello's, ther\u00e9 x1 a.b 'tis don't", "s 't stop.\x1cgo \x7f\u00df"]
+    table, plain = bpe.Tables(definition), bpe.Tables(definition)
+    table.pieces = Counted(table.pieces)
+    plain.plain = False
+    assert table.encode(texts) == plain.encode(texts)
+    assert table.encode(texts[:1])[0][1].replace(" ", "") == "the</w>hello</w>helloworld</w>zzqxj</w>"
+    assert table.pieces.seen and not [t for t in table.pieces.seen if t.isascii() and t.isalpha()]
+    split = next(p for p in definition["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]
+    for pattern, one in ((split["Regex"], True), (r"[\p{L}]+|.", True), (r"ab|[\p{L}]+", False), (r"x[\p{L}]+", False), (r".", False)):
+        split["Regex"] = pattern
+        assert bpe.Tables(definition).plain is one
+
+
 def test_every_query_runs_on_the_supplied_tables(spark, sf_dir):
     sizes = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("documents", "pages")}
     assert sorted(int(n[2:].split("_")[0]) for n in catalogue.QUERIES) == list(range(1, 11))
