@@ -217,6 +217,36 @@ def test_jaccard_join_finds_links_that_miss_the_pivot(spark):
     assert got == brute_components(corpus, 3, 80)
 
 
+@pytest.mark.parametrize(("few", "small"), [(None, None), (1, 2)])
+def test_jaccard_join_of_a_large_group_makes_few_next_keys(spark, monkeypatch, few, small):
+    # copies of one text with words changed, dropped and added, some of them cut at the same end
+    draw, words = random.Random(7), [f"w{i}" for i in range(120)]
+    corpus = [(0, " ".join(words))]
+    for i in range(1, 200 if few is None else 60):
+        copy = words[: draw.choice([120, 120, 116, 112])]
+        for _ in range(draw.choice([0, 1, 2, 4, 6])):
+            at = draw.randrange(len(copy))
+            copy[at : at + draw.choice([0, 1, 1, 1, 3])] = [draw.choice("xyz")] * draw.choice([0, 1, 1, 1, 2])
+        corpus.append((i, " ".join(copy)))
+    if few is not None:
+        monkeypatch.setattr(jaccard, "FEW", few)
+        monkeypatch.setattr(jaccard, "SMALL", small)
+    made, keep = [], Scratch.keep
+
+    def counted(self, df, name):
+        kept = keep(self, df, name)
+        if name == "next-keys":
+            made.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    rows = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(rows, Scratch(spark), 3, 90, 40).collect()}
+    assert got == brute_components(corpus, 3, 90)
+    assert made
+    assert few is not None or sum(made) <= 10 * len(corpus)
+
+
 def test_jaccard_join_without_the_broadcast_counts(spark, documents, corpus, monkeypatch):
     monkeypatch.setattr(jaccard, "COUNTS_LIMIT", 0)
     monkeypatch.setattr(jaccard, "IDS_LIMIT", 0)
