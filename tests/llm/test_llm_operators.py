@@ -11,12 +11,13 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from martloom.llm import bpe, catalogue, decontaminate, html, jaccard, quality, rules, substrings, toxicity, tree, urls, warc
 from martloom.llm.components import components
 from martloom.llm.runtime import Scratch
-from martloom.llm.words import Batch
+from martloom.llm.words import Batch, _hashes, shingle_sets
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -247,6 +248,44 @@ def test_jaccard_join_of_a_large_group_makes_few_next_keys(spark, monkeypatch, f
     assert few is not None or sum(made) <= 10 * len(corpus)
 
 
+def test_jaccard_join_pairs_rare_tokens_without_pivots_and_rounds(spark, monkeypatch):
+    # three copies of each text: no token is frequent, and what is paired at once needs no further keys
+    draw = random.Random(5)
+    bases = [[f"w{draw.randrange(10**6)}" for _ in range(60)] for _ in range(20)]
+    corpus = [(3 * i + k, " ".join(base[k:])) for i, base in enumerate(bases) for k in range(3)]
+    made, keep = {}, Scratch.keep
+
+    def counted(self, df, name):
+        kept = keep(self, df, name)
+        made.setdefault(name, []).append(kept.count())
+        return kept
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    rows = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(rows, Scratch(spark), 3, 90, 40).collect()}
+    assert got == brute_components(corpus, 3, 90)
+    assert made["pivots"] == [0] and made["met"] == [60]
+    assert "next-keys" not in made and len(made["tied"]) == 1
+
+
+@pytest.mark.parametrize("lower", [False, True])
+def test_words_are_hashed_all_at_once(lower):
+    draw = random.Random(11)
+    say = lambda: "".join(draw.choice("aAbZ\0é\u0085\u3000") for _ in range(draw.choice([1, 2, 7, 8, 9, 16, 17, 100, 300])))
+    known = [say() for _ in range(200)] + ["a", "a\0", "A"]
+    texts = [None, b"", b" \t", b"\x0b\x0ca\r\n"] + ["".join(draw.choice(known) + draw.choice(" \n\t") for _ in range(draw.randrange(60))).encode() for _ in range(50)]
+    split = [(t.lower() if lower else t).split() if t else [] for t in texts]
+    words = [w for ws in split for w in ws]
+    _hashes.clear()
+    batch = Batch(texts, lower)
+    assert not _hashes
+    assert batch.counts.tolist() == [len(ws) for ws in split] and batch.words == split
+    assert batch.hashes.tolist() == [xxhash.xxh3_64_intdigest(w) for w in words] == [Batch([w]).hashes[0] for w in words]
+    text, value = shingle_sets(batch, 3)
+    assert np.bincount(text, minlength=len(texts)).tolist() == [len({tuple(ws[i : i + 3]) for i in range(max(1, len(ws) - 2))}) if ws else 0 for ws in split]
+    assert all((np.diff(value[text == i].view(np.uint64).astype(object)) > 0).all() for i in range(len(texts)))
+
+
 def test_jaccard_join_without_the_broadcast_counts(spark, documents, corpus, monkeypatch):
     monkeypatch.setattr(jaccard, "COUNTS_LIMIT", 0)
     monkeypatch.setattr(jaccard, "IDS_LIMIT", 0)
