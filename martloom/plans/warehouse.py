@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martloom.operators.clean import keep_first_sparse
 from martloom.operators.joins import lookup
 from martloom.operators.merge import merge_upsert
 from martloom.session import materialize
@@ -44,7 +45,11 @@ class MarketSources:
 
 
 def conform_sources(s: MarketSources) -> DataFrame:
-    """All sources in the canonical columns; equal rows once."""
+    """All sources in the canonical columns; equal rows once.
+
+    The rows are as wide as all dimensions together, so they are written once and only those that can be equal are
+    shuffled again.
+    """
     shapes = [
         s.wide,
         s.orders_customers.join(s.masters_products, ["product_id", "craftsman_id"]),
@@ -54,7 +59,7 @@ def conform_sources(s: MarketSources) -> DataFrame:
     rows = shapes[0].select(*MARKET_COLUMNS)
     for shape in shapes[1:]:
         rows = rows.unionByName(shape.select(*MARKET_COLUMNS))
-    return rows.distinct()
+    return keep_first_sparse(materialize(rows, "conformed"), MARKET_COLUMNS, [F.lit(1)])
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martloom import bindings
 from martloom.operators import clean
-from martloom.plans import customer_report as report, sales
+from martloom.plans import customer_report as report, sales, warehouse
 from martloom.schemas import D_CRAFTSMAN, D_CUSTOMER, D_PRODUCT, F_ORDER, F_SALES, LOAD_LOG, ddl
 from martloom.sources import tables
 from martloom.sources.bucketed import KeyIndex
@@ -49,6 +49,38 @@ def test_sparse_duplicates(spark):
     assert exchanges(clean.keep_first_sparse(df.filter("k = 'b'"), ["k"], order)) == 0
 
 
+def market_sources(spark, orders):
+    """Sources in which the orders, with ids from 1 to 4, stand in the shape of that number; 0 is in each."""
+    day = date(2024, 1, 1)
+    data = [(i % 5, i, day, None, status, 1, "a", None, day, "a@x", 7, "p", "b", "t", Decimal(2), c, "c", "s", day, "c@x")
+            for i, status, c in orders]
+    kinds = {"id": "long", "date": "date", "birthday": "date", "price": "decimal(18,2)"}
+    columns = ", ".join(f"{c} {kinds.get(c.rpartition('_')[2], 'string')}" for c in warehouse.MARKET_COLUMNS)
+    df = spark.createDataFrame(data, f"shape int, {columns}")
+    one, two, three, four = (df.filter(f"shape in (0, {i})") for i in range(1, 5))
+    order, master, product, buyer = (getattr(warehouse, f"{n}_COLUMNS") for n in ("ORDER", "CRAFTSMAN", "PRODUCT", "CUSTOMER"))
+    return df, warehouse.MarketSources(
+        wide=one, masters_products=df.select(*master, *product).distinct(),
+        orders_customers=two.select(*order, "product_id", "craftsman_id", *buyer),
+        orders_products=three.select(*order, *product, "craftsman_id", "customer_id"),
+        craftsmen=df.select(*master).distinct(), customers=df.select(*buyer).distinct(),
+        craft_products_orders=four.select(*order, *master, *product, "customer_id"),
+        external_customers=df.select(*buyer).distinct(),
+    )
+
+
+def test_conformed_rows_are_not_shuffled_again_unless_they_repeat(spark):
+    for repeated in (True, False):
+        orders = [(1, "done", 5), (2, "done", 5), (3, None, 6), (4, "done", None), (6, "created", 5), (7, "done", 6), (13, None, 5), (9, "x", 6)]
+        orders += [(10, "done", 5), (3, None, 6), (7, "done", 6)] * repeated
+        df, sources = market_sources(spark, orders)
+        got = warehouse.conform_sources(sources)
+        # joins drop the order without a customer, a wide row would stay
+        expected = df.filter("shape = 1 or customer_id is not null").drop("shape").distinct()
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(*got.columns).collect()))
+        assert repeated or exchanges(got) == 0
+
+
 def lines(spark, rows):
     data = [(k, d, 1, 1, 1, "shipped", Decimal(1), Decimal(a), t) for k, d, a, t in rows]
     return spark.createDataFrame(data, ddl(F_SALES))
